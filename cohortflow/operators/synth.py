@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from cohortflow.functions.columns import is_text
 from cohortflow.functions.expressions import as_column, interpolate, standard_normal, step_index, uniform
 from cohortflow.operators.quantiles import exact_quantiles
+from cohortflow.sources.scratch import materialize
 
 SYNTHETIC_ROWS = 5000
 KNOTS = 101
@@ -35,7 +36,7 @@ def infer_kinds(df: DataFrame) -> dict[str, str]:
     sizes = (
         df.agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.approx_count_distinct(as_column(f.name), 0.01).alias(f"d{i}") for i, f in enumerate(checked)],
+            *[F.approx_count_distinct(as_column(f.name), 0.02).alias(f"d{i}") for i, f in enumerate(checked)],
         ).first()
         if checked
         else None
@@ -78,6 +79,7 @@ def fit_copula(df: DataFrame, columns: Sequence[str] | None = None) -> CopulaSpe
     if columns is None:
         columns = [c for c, kind in infer_kinds(df).items() if kind not in ("id", "datetime")]
     columns = list(columns)
+    df = materialize(df.select(*[as_column(c) for c in columns]), "copula_input")  # read by several jobs
     kinds = {f.name: f for f in df.schema.fields}
     categories = [c for c in columns if is_text(kinds[c]) or isinstance(kinds[c].dataType, T.BooleanType)]
     numbers = [c for c in columns if c not in categories]
