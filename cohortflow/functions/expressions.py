@@ -137,45 +137,6 @@ def standard_normal(seed: int | str, *parts: Column | str) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(first)) * F.cos(F.lit(2.0 * math.pi) * second)
 
 
-def interpolate(c: Column | str, knots: Sequence[float], values: Sequence[float]) -> Column:
-    """Piecewise linear map through (knot, value) pairs; flat outside. Knots strictly increase.
-
-    Written as a halving tree of CASEs, so a row takes log2(knots) comparisons."""
-    c = as_column(c)
-
-    def piece(lo: int, hi: int) -> Column:
-        if hi - lo == 1:
-            slope = (values[hi] - values[lo]) / (knots[hi] - knots[lo])
-            return F.lit(float(values[lo])) + (c - F.lit(float(knots[lo]))) * F.lit(float(slope))
-        mid = (lo + hi) // 2
-        return F.when(c < F.lit(float(knots[mid])), piece(lo, mid)).otherwise(piece(mid, hi))
-
-    if len(knots) == 1:
-        return F.when(c.isNotNull(), F.lit(float(values[0])))
-    inner = piece(0, len(knots) - 1)
-    return (
-        F.when(c.isNull(), None)
-        .when(c <= F.lit(float(knots[0])), F.lit(float(values[0])))
-        .when(c >= F.lit(float(knots[-1])), F.lit(float(values[-1])))
-        .otherwise(inner)
-    )
-
-
-def step_index(c: Column | str, edges: Sequence[float], strict: bool = False) -> Column:
-    """Number of edges <= c (or < c when strict), by a halving tree of CASEs."""
-    c = as_column(c)
-
-    def piece(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        edge = F.lit(float(edges[mid]))
-        below = c <= edge if strict else c < edge
-        return F.when(below, piece(lo, mid)).otherwise(piece(mid + 1, hi))
-
-    return F.when(c.isNotNull(), piece(0, len(edges)))
-
-
 def positive_probability(columns: Sequence[str]) -> Column:
     """Probability of class 1, or the decision value when the model has no probability."""
     from pyspark.ml.functions import vector_to_array

@@ -26,6 +26,7 @@ from cohortflow.functions.expressions import as_column, clip, finite_or_null, nu
 from cohortflow.operators.profile import moments
 from cohortflow.operators.quantiles import exact_quantiles
 from cohortflow.sources.artifacts import load_json, save_json
+from cohortflow.sources.scratch import shared_scan, spread
 
 SKEW_LIMIT = 0.5
 MAX_LEVELS = 2000
@@ -92,7 +93,7 @@ def power_likelihood(
                 candidates.alias("candidates"),
             )
         )
-    cells = df.select(F.inline(F.array(*per_column))).filter(F.col("size").isNotNull())
+    cells = spread(df.select(*[as_column(c) for c in columns])).select(F.inline(F.array(*per_column))).filter(F.col("size").isNotNull())
     tried = cells.select("column_name", "size", "up", F.inline("candidates"))
     power = F.when(F.col("up"), F.col("lam")).otherwise(2.0 - F.col("lam"))
     tried = tried.withColumn("power", power)
@@ -293,16 +294,15 @@ def fit_shaping(df: DataFrame, columns: Sequence[str] = SHAPED_COLUMNS, spec: Pr
     the transformed extremes before them and the scaling needs no further pass."""
     spec = spec or PreprocessSpec()
     present = [c for c in columns if c in df.columns]
-    numbers = df.select(*[F.coalesce(finite_or_null(c), F.lit(0.0)).alias(c) for c in present])
-    spec.bounds = fit_outlier_bounds(numbers, present)
-    clipped = clip_columns(numbers, spec.bounds)
-    centers = {}
-    for c in present:
-        b = spec.bounds[c]
-        if b["method"] == "none":  # no rows to learn from
-            b["lower"], b["upper"], b["min"], b["max"] = 0.0, 0.0, 0.0, 0.0
-        centers[c] = (max(b["min"], b["lower"]) + min(b["max"], b["upper"])) / 2
-    spec.lambdas = fit_power(clipped, present, centers)
+    with shared_scan(df.select(*[F.coalesce(finite_or_null(c), F.lit(0.0)).alias(c) for c in present])) as numbers:
+        spec.bounds = fit_outlier_bounds(numbers, present)
+        centers = {}
+        for c in present:
+            b = spec.bounds[c]
+            if b["method"] == "none":  # no rows to learn from
+                b["lower"], b["upper"], b["min"], b["max"] = 0.0, 0.0, 0.0, 0.0
+            centers[c] = (max(b["min"], b["lower"]) + min(b["max"], b["upper"])) / 2
+        spec.lambdas = fit_power(clip_columns(numbers, spec.bounds), present, centers)
     spec.limits = {}
     for c in present:
         b = spec.bounds[c]

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.functions.expressions import as_column, hash_key, step_index
+from cohortflow.functions.expressions import as_column, hash_key
+from cohortflow.operators.binning import with_steps
 
 BUCKET_DIGITS = 3  # 16**3 = 4096 equally likely buckets
 MAX_CLASSES = 1000
@@ -124,7 +125,7 @@ def take_per_class(
 
 
 def running_totals(
-    df: DataFrame, value: str, sums: Sequence[str], buckets: int = 256, accuracy: int = 10_000
+    df: DataFrame, value: str, sums: Sequence[str], buckets: int = 256
 ) -> DataFrame:
     """For one row per distinct value: totals of `sums` over all larger values.
 
@@ -132,9 +133,8 @@ def running_totals(
     sketch (at most `buckets` numbers reach the driver); their borders affect only the
     balance of the work, not the result."""
     probs = [i / buckets for i in range(1, buckets)]
-    sketch = df.agg(F.percentile_approx(value, probs, accuracy).alias("q")).first()["q"] or []
-    edges = sorted(set(sketch))
-    placed = df.withColumn("__b", step_index(value, edges) if edges else F.lit(0))
+    edges = sorted(set(df.approxQuantile(value, probs, 0.5 / buckets)))
+    placed = with_steps(df, {value: edges}).withColumnRenamed(f"{value}__step", "__b")
     totals = placed.groupBy("__b").agg(*[F.sum(s).alias(s) for s in sums])
     # at most `buckets` rows, so the one-group window below is a fixed small job
     higher = Window.partitionBy(F.lit(0)).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)

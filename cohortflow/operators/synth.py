@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow.functions.columns import is_text
-from cohortflow.functions.expressions import as_column, interpolate, standard_normal, step_index, uniform
+from cohortflow.functions.expressions import as_column, standard_normal, uniform
+from cohortflow.operators.binning import with_interpolation, with_steps
 from cohortflow.operators.quantiles import exact_quantiles
 from cohortflow.sources.scratch import materialize
 
@@ -95,7 +96,7 @@ def fit_copula(df: DataFrame, columns: Sequence[str] | None = None) -> CopulaSpe
     knots = {c: [tables[c], scores] for c in numbers if tables[c][0] is not None}
     levels = _category_tables(df, categories)
     usable = [c for c in columns if c in knots or c in levels]
-    coded = df.select(*[F.coalesce(_to_score(c, knots, levels), F.lit(0.0)).alias(f"z{i}") for i, c in enumerate(usable)])
+    coded = _to_scores(df, usable, knots, levels)
     assembled = VectorAssembler(inputCols=coded.columns, outputCol="z").transform(coded).select("z")
     matrix = Correlation.corr(assembled, "z").first()[0].toArray()
     return CopulaSpec(
@@ -129,17 +130,31 @@ def _category_tables(df: DataFrame, categories: Sequence[str]) -> dict[str, list
     return out
 
 
-def _to_score(column: str, knots: dict, levels: dict) -> Column:
-    if column in knots:
-        values, scores = knots[column]
+def _to_scores(df: DataFrame, columns: Sequence[str], knots: dict, levels: dict) -> DataFrame:
+    """Normal scores z0, z1, ...; a missing cell scores 0."""
+    position = {c: i for i, c in enumerate(columns)}
+    numbers = df.select(
+        *[
+            (as_column(c).cast("double") if c in knots else _category_score(c, levels)).alias(f"x{i}")
+            for c, i in position.items()
+        ]
+    )
+    tables = {}
+    for c in knots:
         grouped: dict[float, list[float]] = {}
-        for v, s in zip(values, scores, strict=True):
+        for v, s in zip(*knots[c], strict=True):
             grouped.setdefault(v, []).append(s)
         x = sorted(grouped)
-        return interpolate(as_column(column).cast("double"), x, [sum(grouped[v]) / len(grouped[v]) for v in x])
+        tables[f"x{position[c]}"] = (x, [sum(grouped[v]) / len(grouped[v]) for v in x])
+    scored = with_interpolation(numbers, tables, "s") if tables else numbers
+    return scored.select(
+        *[F.coalesce(F.col(f"x{i}s" if c in knots else f"x{i}"), F.lit(0.0)).alias(f"z{i}") for c, i in position.items()]
+    )
+
+
+def _category_score(column: str, levels: dict) -> Column:
     names, _, middles = levels[column]
-    pairs = [F.lit(v) for pair in zip(names, middles, strict=True) for v in pair]
-    lookup = F.create_map(*pairs)
+    lookup = F.create_map(*[F.lit(v) for pair in zip(names, middles, strict=True) for v in pair])
     return F.try_element_at(lookup, as_column(column).cast("string"))
 
 
@@ -165,24 +180,23 @@ def sample_copula(spark: SparkSession, spec: CopulaSpec, n: int = SYNTHETIC_ROWS
             for i, weights in enumerate(spec.root)
         ],
     )
+    position = {c: f"z{i}" for i, c in enumerate(spec.columns)}
+    tables = {position[c]: (spec.knots[c][1], spec.knots[c][0]) for c in spec.knots}
+    mapped = with_interpolation(scored, tables, "v") if tables else scored
+    borders = {position[c]: spec.levels[c][1] for c in spec.levels}
+    mapped = with_steps(mapped, borders, "v") if borders else mapped
     out = []
     for i, c in enumerate(spec.columns):
-        z, kind = F.col(f"z{i}"), spec.types[c]
-        if c in spec.knots:
-            values, scores = spec.knots[c]
-            pairs = {s: v for s, v in zip(scores, values, strict=True)}
-            x = sorted(pairs)
-            value = interpolate(z, x, [pairs[s] for s in x])
-            if kind in ("int", "bigint", "smallint", "tinyint"):
-                value = F.round(value)
-            value = value.cast(kind)
-        else:
-            names, borders, _ = spec.levels[c]
-            value = F.element_at(F.array(*[F.lit(v) for v in names]), step_index(z, borders) + 1).cast(kind)
+        value, kind = F.col(f"z{i}v"), spec.types[c]
+        if c in spec.levels:
+            value = F.element_at(F.array(*[F.lit(v) for v in spec.levels[c][0]]), value + 1)
+        elif kind in ("int", "bigint", "smallint", "tinyint"):
+            value = F.round(value)
+        value = value.cast(kind)
         if spec.null_share[c] > 0:
             value = F.when(uniform(f"{seed}null{i}", row) >= spec.null_share[c], value)
         out.append(value.alias(c))
-    return scored.select(*out)
+    return mapped.select(*out)
 
 
 def append_synthetic(real: DataFrame, synthetic: DataFrame) -> DataFrame:

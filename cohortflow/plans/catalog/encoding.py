@@ -8,6 +8,7 @@ from cohortflow.plans import stand_ins as S
 from cohortflow.plans.catalog.profiling import LINE_NUMBERS, rounded_all
 from cohortflow.plans.catalog.registry import query
 from cohortflow.plans.stand_ins import read, sql_with
+from cohortflow.sources.scratch import materialize
 
 
 def _bounds_sql(column, table):
@@ -24,7 +25,8 @@ _COHORT_BOUNDS = " UNION ALL ".join(_bounds_sql(c, "cohort") for c in SHAPED_COL
 
 
 def shaped_input(spark, sf_dir):
-    return P.PreprocessSpec().clean(S.cohort(spark, sf_dir), drop_rows=False)
+    """The cleaned cohort, stored because fitting reads it several times."""
+    return materialize(P.PreprocessSpec().clean(S.cohort(spark, sf_dir), drop_rows=False), "cleaned")
 
 
 @query(

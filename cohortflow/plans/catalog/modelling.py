@@ -21,15 +21,13 @@ TARGET = "hospital_expire_flag"
 
 
 def sides(spark, sf_dir):
-    """Scaled train and test rows with vector features, and the number of training rows."""
+    """Train and test rows with scaled vector features, and the scaled training columns."""
     rows = materialize(S.admission_features(spark, sf_dir).select("hadm_id", TARGET, *S.FEATURES), "admissions")
-    flags = stratified_split(rows.select("hadm_id", TARGET), TARGET, 0.3, key=["hadm_id"]).select("hadm_id", "is_test")
-    parts = rows.join(flags, "hadm_id")
-    scale = fit_z_score(parts.filter(~F.col("is_test")), S.FEATURES)
-    scaled = apply_z_score(parts, scale)
-    ready = M.assemble(scaled, S.FEATURES, TARGET, keep=["hadm_id", "is_test"])
-    train = materialize(ready.filter(~F.col("is_test")).drop("is_test"), "train")
-    return train, materialize(ready.filter("is_test").drop("is_test"), "test"), scaled
+    parts = materialize(stratified_split(rows, TARGET, 0.3, key=["hadm_id"]), "parts")
+    train, test = parts.filter(~F.col("is_test")), parts.filter("is_test")
+    scale = fit_z_score(train, S.FEATURES)
+    train, test = apply_z_score(train, scale), apply_z_score(test, scale)
+    return M.assemble(train, S.FEATURES, TARGET, ["hadm_id"]), M.assemble(test, S.FEATURES, TARGET, ["hadm_id"]), train
 
 
 def _scored(spark, sf_dir, make):
@@ -62,7 +60,7 @@ def fit_rf(spark, sf_dir):
 def fit_svm_rff(spark, sf_dir):
     return _scored(
         spark, sf_dir,
-        lambda _, scaled: M.kernel_svm(M.kernel_width(scaled.filter(~F.col("is_test")), S.FEATURES), width=64, iterations=10),
+        lambda _, scaled: M.kernel_svm(M.kernel_width(scaled, S.FEATURES), width=64, iterations=10),
     )
 
 
@@ -114,7 +112,7 @@ def _nearest(train, test):
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     train, test, scaled = sides(spark, sf_dir)
-    gamma = M.kernel_width(scaled.filter(~F.col("is_test")), S.FEATURES)
+    gamma = M.kernel_width(scaled, S.FEATURES)
     compared = {
         "Logistic Regression": M.logistic(train.count()), "LightGBM": M.hist_boosting(trees=3),
         "Gradient Boosting": M.gradient_boosting(trees=5), "Random Forest": M.random_forest(trees=10, depth=6),
@@ -153,9 +151,9 @@ def tuned_comparison(spark, sf_dir):
 
 
 def _encoded(spark, sf_dir):
-    wide = S.admission_features(spark, sf_dir).drop("subject_id", "discharge_location")
+    wide = materialize(S.admission_features(spark, sf_dir).drop("subject_id", "discharge_location"), "admissions")
     levels = fit_levels(wide)
-    return materialize(one_hot(wide, levels), "encoded"), levels
+    return one_hot(wide, levels), levels
 
 
 def _trained(spark, sf_dir):

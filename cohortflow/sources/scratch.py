@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+SPREAD_BYTES = 32 << 20
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
@@ -42,3 +46,29 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _small(df: DataFrame) -> bool:
+    """Estimated at less than a small split per core: such a frame may use only a few cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) < cores * SPREAD_BYTES
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small frame out to all cores; larger ones already have enough splits."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if _small(df) else df
+
+
+@contextmanager
+def shared_scan(df: DataFrame) -> Iterator[DataFrame]:
+    """A frame that several jobs read: small ones are dealt out once and kept in memory,
+    larger ones are simply read again, so nothing big is ever cached."""
+    if not _small(df):
+        yield df
+        return
+    kept = spread(df).persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
