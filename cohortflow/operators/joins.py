@@ -9,10 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.expressions import as_column
+from cohortflow.sources.scratch import estimated_bytes
 
 HOT_SHARE = 0.001  # a key above this share of the rows is handled on its own
 HOT_ROWS = 200_000  # ... but only if it also has this many rows
-_TRACKED = 10_000
+TRACKED_KEYS = 4_096
+SAMPLE_BYTES = 1 << 30
+LEAST_SAMPLE = 0.001
+FEW_ROWS = 10_000  # size up to which a side is broadcast
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -28,16 +32,16 @@ def hot_key_hashes(
 ) -> list[int]:
     """Hashes of the keys that hold more than `share` of the rows.
 
-    One scan of the key columns into a fixed-size frequent-items sketch; no shuffle
-    of rows. By definition there are at most 1/share such keys."""
+    A frequent-items sketch over the key columns, without a shuffle of rows. A share is
+    seen as well in a sample, so large inputs are sampled to keep the sketches small.
+    By definition there are at most 1/share such keys; which ones are found decides
+    only how the join is carried out."""
     k = int(1 / share)
-    found = (
-        df.filter(_keys_present(keys))
-        .select(key_hash(keys).alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {k}, {_TRACKED})").alias("top"))
-        .first()
-    )
-    floor = max(min_rows, share * found["n"])
+    present = df.filter(_keys_present(keys)).select(key_hash(keys).alias("h"))
+    fraction = min(1.0, max(LEAST_SAMPLE, SAMPLE_BYTES / max(1, estimated_bytes(present))))
+    seen = present if fraction == 1.0 else present.sample(fraction, seed=1)
+    found = seen.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {k}, {TRACKED_KEYS})").alias("top")).first()
+    floor = max(min_rows * fraction, share * found["n"])
     return [t["item"] for t in (found["top"] or []) if t["count"] >= floor]
 
 
@@ -88,8 +92,8 @@ def fanout_left_join(
     left_hot, left_rest = left.filter(present & is_hot), left.filter(~present | ~is_hot)
     right_hot, right_rest = right.filter(present & is_hot), right.filter(present & ~is_hot)
     rest = left_rest.join(right_rest, keys, "left")
-    hot_left_rows = left_hot.limit(_TRACKED + 1).count()
-    small = F.broadcast(left_hot) if hot_left_rows <= _TRACKED else left_hot
+    hot_left_rows = left_hot.limit(FEW_ROWS + 1).count()
+    small = F.broadcast(left_hot) if hot_left_rows <= FEW_ROWS else left_hot
     matched = right_hot.join(small, keys, "inner").select(*rest.columns)
     # a key without right rows gets here only when its hash equals that of a hot key
     unmatched = left_hot.join(F.broadcast(right_hot.select(*keys).distinct()), keys, "left_anti")

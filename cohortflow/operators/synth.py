@@ -159,8 +159,10 @@ def _category_score(column: str, levels: dict) -> Column:
 
 
 def _factor(matrix: np.ndarray) -> np.ndarray:
-    """Cholesky factor; undefined correlations (constant columns) count as 0."""
-    matrix = np.where(np.isnan(matrix), 0.0, matrix)
+    """Cholesky factor; undefined correlations (constant columns) count as 0.
+
+    Rounding removes the last digits, which depend on the order of summation."""
+    matrix = np.round(np.where(np.isnan(matrix), 0.0, matrix), 9)
     np.fill_diagonal(matrix, 1.0)
     values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
     fixed = vectors @ np.diag(np.maximum(values, 1e-8)) @ vectors.T

@@ -34,8 +34,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+def _session_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/cohortflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/cohortflow/{label}-{uuid.uuid4().hex}"
+    return f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; call it when their results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -48,11 +58,14 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate. Steers only how work is divided, never a result."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _small(df: DataFrame) -> bool:
     """Estimated at less than a small split per core: such a frame may use only a few cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) < cores * SPREAD_BYTES
+    return estimated_bytes(df) < df.sparkSession.sparkContext.defaultParallelism * SPREAD_BYTES
 
 
 def spread(df: DataFrame) -> DataFrame:
