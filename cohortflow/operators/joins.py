@@ -38,7 +38,10 @@ def hot_key_hashes(
     only how the join is carried out."""
     k = int(1 / share)
     present = df.filter(_keys_present(keys)).select(key_hash(keys).alias("h"))
-    fraction = min(1.0, max(LEAST_SAMPLE, SAMPLE_BYTES / max(1, estimated_bytes(present))))
+    size = estimated_bytes(present)
+    if size < min_rows * 8:  # not even room for one hot key
+        return []
+    fraction = min(1.0, max(LEAST_SAMPLE, SAMPLE_BYTES / size))
     seen = present if fraction == 1.0 else present.sample(fraction, seed=1)
     found = seen.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {k}, {TRACKED_KEYS})").alias("top")).first()
     floor = max(min_rows * fraction, share * found["n"])
