@@ -36,12 +36,12 @@ def with_steps(
             continue
         step = F.col(raw[c]).cast("int")
         if strict:
-            step = step - F.when(_at(b, step) == F.col(inputs[c]), 1).otherwise(0)
+            step = step - F.when(value_at(b, step) == F.col(inputs[c]), 1).otherwise(0)
         steps[f"{c}{suffix}"] = F.when(present, step)
     return out.withColumns(steps).drop(*raw.values(), *inputs.values())
 
 
-def _at(values: Sequence[float], position: Column) -> Column:
+def value_at(values: Sequence[float], position: Column) -> Column:
     """values[position - 1]; null for position 0."""
     table = F.array(*[F.lit(float(v)) for v in values])
     return F.when(position >= 1, F.element_at(table, F.greatest(position, F.lit(1))))
@@ -54,7 +54,7 @@ def with_interpolation(df: DataFrame, tables: dict[str, tuple[Sequence[float], S
     for c, (knots, values) in tables.items():
         step, last = F.col(f"{c}__knot"), len(knots)
         slopes = [(values[i + 1] - values[i]) / (knots[i + 1] - knots[i]) for i in range(last - 1)] + [0.0]
-        inside = _at(values, step) + (as_column(c) - _at(knots, step)) * _at(slopes, step)
+        inside = value_at(values, step) + (as_column(c) - value_at(knots, step)) * value_at(slopes, step)
         out[f"{c}{suffix}"] = (
             F.when(step.isNull(), None).when(step == 0, F.lit(float(values[0])))
             .when(step == last, F.lit(float(values[-1]))).otherwise(inside)

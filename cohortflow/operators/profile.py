@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions.columns import number_columns, text_columns
 from cohortflow.functions.expressions import as_column, bin_index
 from cohortflow.operators.quantiles import exact_quantiles
+from cohortflow.sources.scratch import spread
 
 
 def long_rows(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -56,21 +57,22 @@ def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One pass for all columns. A constant column has no skewness (null)."""
     parts, structs = [], []
+    numbers = spread(df.select(*[as_column(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]))
     for i, c in enumerate(columns):
-        x = as_column(c).cast("double")
+        x, n = F.col(f"x{i}"), F.col(f"n{i}")
         parts += [
-            F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-            F.stddev_pop(x).alias(f"p{i}"), F.skewness(x).alias(f"k{i}"),
-            F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}"),
+            F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}"),
+            F.skewness(x).alias(f"k{i}"), F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}"),
         ]
+        sample_variance = F.when(n > 1, F.col(f"v{i}") * n / (n - 1))
         structs.append(
             F.struct(
-                F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean"),
-                F.col(f"s{i}").alias("std"), F.col(f"p{i}").alias("std_pop"), F.col(f"k{i}").alias("skewness"),
+                F.lit(c).alias("column_name"), n.alias("n"), F.col(f"m{i}").alias("mean"),
+                F.sqrt(sample_variance).alias("std"), F.sqrt(f"v{i}").alias("std_pop"), F.col(f"k{i}").alias("skewness"),
                 F.col(f"a{i}").alias("min"), F.col(f"b{i}").alias("max"),
             )
         )
-    return long_rows(df.agg(*parts), structs)
+    return long_rows(numbers.agg(*parts), structs)
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
