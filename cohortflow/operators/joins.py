@@ -16,6 +16,7 @@ HOT_ROWS = 200_000  # ... but only if it also has this many rows
 TRACKED_KEYS = 4_096
 SAMPLE_BYTES = 1 << 30
 LEAST_SAMPLE = 0.001
+UNKNOWN_BYTES = 1 << 60  # estimates above this stand for an unknown size
 FEW_ROWS = 10_000  # size up to which a side is broadcast
 
 
@@ -41,7 +42,7 @@ def hot_key_hashes(
     size = estimated_bytes(present)
     if size < min_rows * 8:  # not even room for one hot key
         return []
-    fraction = min(1.0, max(LEAST_SAMPLE, SAMPLE_BYTES / size))
+    fraction = 1.0 if size > UNKNOWN_BYTES else min(1.0, max(LEAST_SAMPLE, SAMPLE_BYTES / size))
     seen = present if fraction == 1.0 else present.sample(fraction, seed=1)
     found = seen.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {k}, {TRACKED_KEYS})").alias("top")).first()
     floor = max(min_rows * fraction, share * found["n"])

@@ -16,7 +16,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -70,8 +70,15 @@ def random_forest(trees: int = 100, depth: int = 20, min_rows: int = 1, seed: in
     )
 
 
-def gaussian_bayes() -> NaiveBayes:
-    return NaiveBayes(featuresCol=FEATURES, labelCol=LABEL, modelType="gaussian", smoothing=0.0)
+def gaussian_bayes() -> Pipeline:
+    """Per-class normal densities. Constant features say nothing about the class but have no
+    density, so they are left out first."""
+    return Pipeline(
+        stages=[
+            VarianceThresholdSelector(featuresCol=FEATURES, outputCol="varying_features", varianceThreshold=0.0),
+            NaiveBayes(featuresCol="varying_features", labelCol=LABEL, modelType="gaussian", smoothing=0.0),
+        ]
+    )
 
 
 class RandomFourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -155,7 +162,7 @@ def predict(model: Transformer, df: DataFrame) -> DataFrame:
     """Add prediction (int) and probability of class 1 (or the decision value)."""
     out = model.transform(df)
     score = positive_probability(out.columns)
-    dropped = ("prediction", "probability", "rawPrediction", "margin", "svm_prediction", "kernel_features")
+    dropped = ("prediction", "probability", "rawPrediction", "margin", "svm_prediction", "kernel_features", "varying_features")
     return out.withColumns({"__p": F.col("prediction").cast("int"), "__s": score}).drop(*dropped).withColumnsRenamed(
         {"__p": "prediction", "__s": "probability"}
     )

@@ -75,9 +75,9 @@ quota AS (SELECT y, floor(round(want, 9)) + CASE WHEN row_number() OVER (ORDER B
 ranked AS (SELECT *, row_number() OVER (PARTITION BY hospital_expire_flag ORDER BY md5('42|' || hadm_id), hadm_id) AS r FROM feat),
 parts AS (SELECT ranked.*, r <= q AS is_test FROM ranked JOIN quota ON quota.y = hospital_expire_flag)"""
     scale = ", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in S.FEATURES)
-    shown = ", ".join(f"({f} - m_{f}) / s_{f} AS {f}" for f in S.FEATURES)
+    shown = ", ".join(f"({f} - m_{f}) / coalesce(nullif(s_{f}, 0), 1) AS {f}" for f in S.FEATURES)
     moments = ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in S.FEATURES)
-    density = " ".join(f"- 0.5e0 * ln(2 * pi() * v_{f}) - pow({f} - m_{f}, 2) / (2 * v_{f})" for f in S.FEATURES)
+    density = " ".join(f"+ CASE WHEN v_{f} > 0 THEN - 0.5e0 * ln(2 * pi() * v_{f}) - pow({f} - m_{f}, 2) / (2 * v_{f}) ELSE 0 END" for f in S.FEATURES)
     steps = f"""{quota},
 scale AS (SELECT {scale} FROM parts WHERE NOT is_test),
 scaled AS (SELECT hadm_id, hospital_expire_flag AS y, is_test, {shown} FROM parts, scale),
@@ -192,7 +192,7 @@ def _scored_sql():
     flags = {f"{c}_{v}": f"CASE WHEN {c} = '{v}' THEN 1.0e0 ELSE 0.0e0 END" for c, vs in dummies.items() for v in vs}
     features = [*S.FEATURES, *flags]
     moments = ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in features)
-    density = " ".join(f"- 0.5e0 * ln(v_{f}) - pow(s.{f} - m_{f}, 2) / (2 * v_{f})" for f in features)
+    density = " ".join(f"+ CASE WHEN v_{f} > 0 THEN - 0.5e0 * ln(v_{f}) - pow(s.{f} - m_{f}, 2) / (2 * v_{f}) ELSE 0 END" for f in features)
     steps = f"""
 wide AS (SELECT *, {", ".join(f"{e} AS {f}" for f, e in flags.items())} FROM feat),
 fitted AS (SELECT hospital_expire_flag AS y, count(*) AS n, {moments} FROM wide GROUP BY 1),

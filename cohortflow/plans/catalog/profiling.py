@@ -175,7 +175,7 @@ _FILLED = "filled AS (SELECT " + ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS
     "corr_with_target",
     sql_with(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS feature, round(corr({c}, hospital_expire_flag), 6) AS correlation FROM filled" for c in TARGET_FEATURES
+            f"SELECT '{c}' AS feature, CASE WHEN stddev_pop({c}) > 0 THEN round(corr({c}, hospital_expire_flag), 6) END AS correlation FROM filled" for c in TARGET_FEATURES
         ),
         _FILLED,
     ),
@@ -189,9 +189,9 @@ def corr_with_target(spark, sf_dir):
     sql_with(
         "SELECT feature, round(correlation, 6) AS correlation FROM ("
         + " UNION ALL ".join(
-            f"SELECT '{c}' AS feature, corr({c}, hospital_expire_flag) AS correlation FROM filled" for c in TARGET_FEATURES
+            f"SELECT '{c}' AS feature, CASE WHEN stddev_pop({c}) > 0 THEN corr({c}, hospital_expire_flag) END AS correlation FROM filled" for c in TARGET_FEATURES
         )
-        + ") ORDER BY correlation DESC, feature LIMIT 3",
+        + ") ORDER BY correlation DESC NULLS LAST, feature LIMIT 3",
         _FILLED,
     ),
 )
