@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm import imatch, secrets, urls
-from cohortflow.llm.tables import table
+from cohortflow.llm import decontaminate, imatch, language, pieces, secret_scan, simhash, token_scan, toxicity, transcripts, urls
+from cohortflow.llm.tables import labelled, table
+
+#: Folder of the public vocabulary files, on the driver.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+# The pre-tokenizer of the public byte-level vocabulary, and its free id as separator.
+BYTE_BPE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+TOKEN_FILES = token_scan.TokenFormat(separator=50256, width=2)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,15 +31,15 @@ URL_RULES = [
 
 # Fixed values of the contract: the first three rules. The others are public token formats.
 SECRET_RULES = [
-    secrets.SecretRule("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
-    secrets.SecretRule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    secrets.SecretRule("hex", r"[0-9a-f]{24,}", 0, 24),
-    secrets.SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    secrets.SecretRule("github", r"(ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}"),
-    secrets.SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    secrets.SecretRule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    secrets.SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    secrets.SecretRule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/=-]{16,}"),
+    secret_scan.SecretRule("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
+    secret_scan.SecretRule("access", r"AKIA[A-Z0-9]+", 0, 20),
+    secret_scan.SecretRule("hex", r"[0-9a-f]{24,}", 0, 24),
+    secret_scan.SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    secret_scan.SecretRule("github", r"(ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}"),
+    secret_scan.SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
+    secret_scan.SecretRule("google", r"AIza[A-Za-z0-9_-]{35}"),
+    secret_scan.SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    secret_scan.SecretRule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/=-]{16,}"),
 ]
 BASE_KINDS = 3
 
@@ -72,7 +79,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _secret_sql() -> str:
     """Marks each match with private-use characters, cuts the text at the marks and adds up the lengths."""
 
-    def found(i: int, r: secrets.SecretRule) -> str:
+    def found(i: int, r: secret_scan.SecretRule) -> str:
         pattern = r.pattern.replace("'", "''")
         size = f"length(regexp_extract(piece, '{pattern}', {r.group}))" if r.group else "length(piece)"
         return f"""
@@ -95,15 +102,15 @@ def _secret_sql() -> str:
 
 @query("op8_secret_scan", _secret_sql())
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"), SECRET_RULES)
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"), SECRET_RULES)
 
     def count(rank: int):
         return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
 
     counts = [count(i).alias(f"n_{r.kind}") for i, r in enumerate(SECRET_RULES[:BASE_KINDS])]
-    base = secrets.span_text(F.filter("spans", lambda s: s["rank"] < BASE_KINDS))
+    base = secret_scan.span_text(F.filter("spans", lambda s: s["rank"] < BASE_KINDS))
     return found.select(
-        "doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans")
+        "doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), secret_scan.span_text(F.col("spans")).alias("spans")
     )
 
 
@@ -153,3 +160,51 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", F.array_join("own", ",").alias("fingerprint"), F.array_join("edited", ",").alias("edited_fingerprint"),
         imatch.likeness(F.col("own"), F.col("edited")).alias("near_edited"), imatch.likeness(F.col("own"), F.col("next")).alias("near_next"),
     )
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = token_scan.read_ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return token_scan.token_counts(table(spark, sf_dir, "documents"), ranks, BYTE_BPE_PATTERN, TOKEN_FILES)
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.read_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return pieces.encode_texts(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs, ~labelled("doc_id", 5, 0))
+    found = language.identify(docs, model)
+    return found.select("doc_id", F.coalesce(labelled("doc_id", 5, 0), F.lit(False)).alias("held_out"), "lang_pred", "score", "spans")
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~labelled("doc_id", 4, 2))
+    found = toxicity.score_texts(docs, model)
+    return found.select("doc_id", F.coalesce(labelled("doc_id", 4, 2), F.lit(False)).alias("held_out"), "score", "predicted", "clauses")
+
+
+@query("op10_chat_format")
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    lines = transcripts.as_transcript(turns)
+    model = transcripts.train(lines.where(~labelled("conv_id", 5, 0)))
+    return transcripts.recover(lines.drop("role"), model)

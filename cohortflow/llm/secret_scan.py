@@ -24,7 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.tables import BROADCAST_ROWS, stored
+from cohortflow.llm.tables import BROADCAST_ROWS, small_side, stored
 
 _parse = re._parser  # the standard library's own parser of patterns
 MAX_STRINGS = 48
@@ -197,3 +197,17 @@ def redacted(text: Column, spans: Column) -> Column:
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+
+
+def without_secrets(docs: DataFrame, rules: Sequence[SecretRule], id_column: str = "doc_id", text_column: str = "text", size_column: str = "n_chars") -> DataFrame:
+    """All rows of docs, with secrets in the text replaced and the size of changed texts brought up to date."""
+    found = find_secrets(docs, rules, id_column, text_column).where(F.size("spans") > 0).dropDuplicates([id_column, "text_hash"])
+    found = stored(found.select(F.col(id_column).alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans")), "secrets")
+    key = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+    met = docs.withColumn("__key", key).join(small_side(found), F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash")), "left")
+    changed = F.col("__spans").isNotNull()
+    met = met.withColumn(text_column, F.when(changed, redacted(F.col(text_column), F.col("__spans"))).otherwise(F.col(text_column)))
+    if size_column in docs.columns:
+        size = F.length(text_column).cast(docs.schema[size_column].dataType)
+        met = met.withColumn(size_column, F.when(changed, size).otherwise(F.col(size_column)))
+    return met.select(*docs.columns)
