@@ -9,9 +9,10 @@ ends with (direct, aimed, negated, reported), never on a word alone, and the sco
 comes from its counted clauses by a logistic regression.
 
 Insults are learned: words and word beginnings that are over-represented in texts labelled
-toxic, on a bounded sample of labelled rows. They are chosen one after the other, each for
-the toxic texts that no earlier one explains, so that the words of a much-copied text add
-nothing. The short lists of targets, threats, negations and reports are general words of
+toxic, on a bounded sample of labelled rows. Those that clean texts use as well are faint:
+they make a clause of a kind of its own, which counts by how densely a text holds them. They are chosen one after the other, each for
+the toxic texts that few earlier ones explain, so that the words of a much-copied text add
+little. The short lists of targets, threats, negations and reports are general words of
 the four languages. Weights of the clause kinds are learned with the prior order direct >
 reported > negated.
 
@@ -43,8 +44,10 @@ THRESHOLD = 0.3  # fixed value of the contract
 SAMPLE_PER_CLASS = 4000
 STEMS = (4, 5, 6)
 MIN_SUPPORT = 4
-MIN_G2 = 22.0
-MIN_RATIO = 10.0
+MIN_G2 = 20.0
+EXPLAINED = 4  # chosen forms after which a toxic text counts for no other form
+MIN_RATIO = 3.0
+STRONG = math.log(20.0)  # log odds from which a form is an insult by itself
 CANDIDATES = 3000
 MAX_LEXICON = 2000
 RIDGE = 0.05
@@ -55,11 +58,11 @@ THREATS = "kill hurt destroy murder stab shoot burn beat töten umbringen vernic
 NEGATIONS = "not no never nobody isn aren don nicht kein keine niemals ne pas jamais nunca jamás ningún".split()
 REPORTS = "said says saying quoted quote wrote called reported claimed sagte sagt schrieb dit disait écrit dijo dice escribió".split()
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
+INSULT, THREAT, TARGET, NEGATION, REPORT, FAINT, OTHER = range(7)
 REACH = 2  # words over which a negation or a target is near
-KINDS = ("direct", "aimed", "threat", "negated", "reported")
-#: Prior weight of a clause of each kind, towards which the regression is drawn.
-PRIOR = np.array([3.0, 4.0, 3.0, 1.0, 1.5])
+KINDS = ("direct", "aimed", "threat", "negated", "reported", "faint")
+#: Prior weight of the clauses of each kind and of their density, towards which the regression is drawn.
+PRIOR = np.array([3.0, 4.0, 3.0, 1.0, 1.5, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0])
 
 WORD = re.compile(r"[^\W\d_]+")
 STOPS = ".!?;:\n"
@@ -118,6 +121,7 @@ def compose(parts: list[Transducer]) -> tuple[np.ndarray, list[frozenset[str]]]:
 GRAMMAR = [
     marks_when_seen(INSULT, "insult"),
     marks_when_seen(THREAT, "threat"),
+    marks_when_seen(FAINT, "faint"),
     marks_when_near(TARGET, (INSULT, THREAT), "aimed", either=True),
     marks_when_near(NEGATION, (INSULT, THREAT), "negated"),
     marks_when_after(REPORT, (INSULT, THREAT), "reported"),
@@ -127,7 +131,7 @@ GRAMMAR = [
 def kind_of(marks: frozenset[str]) -> int | None:
     """What a clause with these marks is; a threat needs a target."""
     if "insult" not in marks and not {"threat", "aimed"} <= marks:
-        return None
+        return KINDS.index("faint") if "faint" in marks else None
     if "negated" in marks:
         return KINDS.index("negated")
     if "reported" in marks:
@@ -139,7 +143,7 @@ def kind_of(marks: frozenset[str]) -> int | None:
 
 class Model(NamedTuple):
     lexicon: dict[str, float]  # words and, with a trailing *, word beginnings
-    weights: np.ndarray  # per kind
+    weights: np.ndarray  # per kind, then per kind's density
     bias: float
 
 
@@ -147,8 +151,9 @@ class Matcher:
     """Counts the matched clauses of a text by kind."""
 
     def __init__(self, lexicon: dict[str, float]) -> None:
-        self.words = {w for w in lexicon if not w.endswith("*")}
-        self.stems = {w[:-1] for w in lexicon if w.endswith("*")}
+        strength = {w: INSULT if x >= STRONG else FAINT for w, x in lexicon.items()}
+        self.words = {w: c for w, c in strength.items() if not w.endswith("*")}
+        self.stems = {w[:-1]: c for w, c in strength.items() if w.endswith("*")}
         self.sizes = sorted({len(s) for s in self.stems})
         self.classes = {w: c for c, ws in ((TARGET, TARGETS), (THREAT, THREATS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
         self.table, marks = compose(GRAMMAR)
@@ -161,9 +166,10 @@ class Matcher:
             self.finder.make_automaton()
 
     def class_of(self, word: str) -> int:
-        if word in self.words or any(word[:n] in self.stems for n in self.sizes):
-            return INSULT
-        return self.classes.get(word, OTHER)
+        found = [self.stems[word[:n]] for n in self.sizes if word[:n] in self.stems]
+        if word in self.words:
+            found.append(self.words[word])
+        return min(found) if found else self.classes.get(word, OTHER)
 
     def counts(self, text: str) -> list[int]:
         out = [0] * len(KINDS)
@@ -187,12 +193,16 @@ class Matcher:
         return out
 
 
-def features(counts: np.ndarray) -> np.ndarray:
-    return np.log1p(counts)
+def features(counts: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """Clauses of each kind, and their number per thousand characters."""
+    return np.log1p(np.hstack([counts, 1000 * counts / np.maximum(chars, 1)[:, None]]))
 
 
-def probability(counts: np.ndarray, model: Model) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(features(counts) @ model.weights + model.bias, -30, 30)))
+def judged(texts: list[str], matcher: Matcher, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Clause counts and score of each text."""
+    counts = np.array([matcher.counts(t) for t in texts], np.int64).reshape(-1, len(KINDS))
+    chars = np.array([len(t) for t in texts], np.int64)
+    return counts, 1 / (1 + np.exp(-np.clip(features(counts, chars) @ model.weights + model.bias, -30, 30)))
 
 
 def _forms(text: str) -> set[str]:
@@ -213,13 +223,19 @@ def learn_lexicon(forms: list[list[str]], toxic: np.ndarray) -> dict[str, float]
             clean.update(fs)
     left = {f: set(h) for f, h in holders.items()}
     chosen: dict[str, float] = {}
+    times = Counter()
     while left and len(chosen) < MAX_LEXICON:
+        # a form and its longer spellings hold the same texts: the most telling one stands for them
         best = max(left, key=lambda f: (g2(len(left[f]), n1, clean[f], n0), len(f), f))
-        a = len(left[best])
-        if a < MIN_SUPPORT or g2(a, n1, clean[best], n0) < MIN_G2 or a / n1 < MIN_RATIO * clean[best] / n0:
+        own = left.pop(best)
+        a = len(holders[best])
+        if g2(len(own), n1, clean[best], n0) < MIN_G2:
             break
+        if len(own) < MIN_SUPPORT or len(own) / n1 < MIN_RATIO * clean[best] / n0 or _spelled(best, chosen, holders):
+            continue
         chosen[best] = math.log((a + 0.5) / (n1 + 1) / ((clean[best] + 0.5) / (n0 + 1)))
-        explained = set(left.pop(best))
+        times.update(own)
+        explained = {i for i in own if times[i] >= EXPLAINED}
         for f in list(left):
             left[f] -= explained
             if len(left[f]) < MIN_SUPPORT:
@@ -227,6 +243,13 @@ def learn_lexicon(forms: list[list[str]], toxic: np.ndarray) -> dict[str, float]
     return chosen
 
 
+def _spelled(form: str, chosen: dict[str, float], holders: dict[str, list[int]]) -> bool:
+    """Whether a chosen form already stands for this one: its beginning, or a longer spelling of the same texts."""
+    if any(form[:n] + "*" in chosen for n in STEMS):
+        return True
+    return any(c.startswith(form.rstrip("*")) and 10 * len(holders[form]) <= 11 * len(holders[c]) for c in chosen)
+
+
 def g2(a: int, n1: int, b: int, n0: int) -> float:
     """Likelihood-ratio statistic of a form in a of n1 toxic and b of n0 other texts; 0 if it is rarer among the toxic."""
     if not n1 or not n0 or a * n0 <= b * n1:
@@ -297,14 +320,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str = "d
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "counts": [matcher.counts(t) for t in batch["text"]]})
+            counts = [matcher.counts(t) for t in batch["text"]]
+            yield pd.DataFrame({"toxic": batch["toxic"], "counts": counts, "chars": [len(t) for t in batch["text"]]})
 
-    seen = texts.mapInPandas(count, "toxic boolean, counts array<long>").groupBy("toxic", "counts").count().collect()
-    x = features(np.array([r["counts"] for r in seen], float))
+    seen = texts.mapInPandas(count, "toxic boolean, counts array<long>, chars long").collect()  # a row per sampled text
+    x = features(np.array([r["counts"] for r in seen], float), np.array([r["chars"] for r in seen], float))
     y = np.array([r["toxic"] for r in seen], float)
     # the sample holds a larger share of one class: weigh it back
     back = {True: sizes[1] / n1, False: sizes[0] / n0}
-    weight = np.array([r["count"] * back[r["toxic"]] for r in seen])
+    weight = np.array([back[r["toxic"]] for r in seen])
     weights, bias = fit_weights(x, y, weight * (n1 + n0) / weight.sum())
     return Model(lexicon, weights, bias)
 
@@ -317,8 +341,7 @@ def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", text_c
         if not matcher:
             matcher.append(Matcher(model.lexicon))
         for batch in batches:
-            counts = np.array([matcher[0].counts(t) for t in batch["text"]], np.int64).reshape(-1, len(KINDS))
-            score = probability(counts, model)
+            counts, score = judged(batch["text"].tolist(), matcher[0], model)
             yield pd.DataFrame({
                 "id": batch["id"].astype("Int64"), "score": score, "predicted": (score >= THRESHOLD).astype(np.int32), "clauses": list(counts),
             })
@@ -336,7 +359,7 @@ def without_toxic(docs: DataFrame, model: Model, text_column: str = "text") -> D
         if not matcher:
             matcher.append(Matcher(model.lexicon))
         for batch in batches:
-            counts = np.array([matcher[0].counts(t or "") for t in batch.column(place).to_pylist()], np.int64).reshape(-1, len(KINDS))
-            yield batch.filter(pa.array(probability(counts, model) < THRESHOLD))
+            _, score = judged([t or "" for t in batch.column(place).to_pylist()], matcher[0], model)
+            yield batch.filter(pa.array(score < THRESHOLD))
 
     return docs.mapInArrow(each, docs.schema)
