@@ -22,9 +22,12 @@ def chart_summary(chartevents: DataFrame, keys: Sequence[str] = ADMISSION_KEYS)
     """Mean value and one unit of measure per admission.
 
     "First unit seen" depends on row order; the smallest one is the same on every run."""
-    return measured(chartevents, keys, "valuenum", "valueuom").groupBy(*keys).agg(
-        F.avg("valuenum").alias("avg_chart_val"), F.min("valueuom").alias("valueuom")
+    # sums per unit first: a smallest text beside a mean would sort the events, here both steps hash
+    units = measured(chartevents, keys, "valuenum", "valueuom").groupBy(*keys, "valueuom").agg(
+        F.sum("valuenum").alias("total"), F.count("valuenum").alias("n")
     )
+    means = units.groupBy(*keys).agg((F.sum("total") / F.sum("n")).alias("avg_chart_val"), F.array_min(F.collect_set("valueuom")).alias("valueuom"))
+    return means
 
 
 def lab_summary(labevents: DataFrame, keys: Sequence[str] = ADMISSION_KEYS) -> DataFrame:
@@ -64,14 +67,9 @@ def build_cohort(
     wide = wide.join(chart_summary(tables["chartevents"], keys), keys, "left")
     wide = wide.join(diagnosis_summary(tables["diagnoses_icd"], keys), keys, "left")
     by_lab = list(lab_keys or keys)
-    wide = wide.join(lab_summary(tables["labevents"], by_lab), by_lab, "left")
+    wide = lookup_join(wide, lab_summary(tables["labevents"], by_lab), by_lab, "left", share, min_rows)
     stays = tables["icustays"]
     on = list(stay_keys or keys)
     clashes = [c for c in stays.columns if c not in on and c in wide.columns]
     stays = stays.drop(*clashes)  # the row counter of the stays file carries no information
     return fanout_left_join(wide, stays, on, share, min_rows)
-
-
-def order_columns(df: DataFrame, first: Sequence[str]) -> DataFrame:
-    rest = [c for c in df.columns if c not in first]
-    return df.select(*[as_column(c) for c in [*first, *rest]])

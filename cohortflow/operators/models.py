@@ -30,6 +30,7 @@ from cohortflow.sources.scratch import ensure_checkpoint_dir, materialize
 
 FEATURES, LABEL = "features", "label"
 SEED = 42
+MAX_DEPTH = 30  # the deepest tree that Spark allows
 
 
 def assemble(df: DataFrame, features: Sequence[str], label: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -63,7 +64,7 @@ def hist_boosting(trees: int = 100, rate: float = 0.1, depth: int = 5, min_rows:
     )
 
 
-def random_forest(trees: int = 100, depth: int = 20, min_rows: int = 1, seed: int = SEED) -> RandomForestClassifier:
+def random_forest(trees: int = 100, depth: int = MAX_DEPTH, min_rows: int = 1, seed: int = SEED) -> RandomForestClassifier:
     return RandomForestClassifier(
         featuresCol=FEATURES, labelCol=LABEL, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_rows,
         featureSubsetStrategy="sqrt", seed=seed,

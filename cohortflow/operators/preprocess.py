@@ -6,6 +6,7 @@ specification, and a transform that is a plain projection."""
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -23,13 +24,15 @@ from cohortflow.functions.columns import (
     text_columns,
 )
 from cohortflow.functions.expressions import as_column, clip, finite_or_null, number_or_zero, yeo_johnson
-from cohortflow.operators.profile import moments
+from cohortflow.operators.profile import long_rows, moments
 from cohortflow.operators.quantiles import exact_quantiles
 from cohortflow.sources.artifacts import load_json, save_json
 from cohortflow.sources.scratch import shared_scan, spread
 
 SKEW_LIMIT = 0.5
 MAX_LEVELS = 2000
+COLUMNS_PER_JOB = 2
+LAMBDA_LIMIT = 20.0
 COARSE_GRID = tuple(round(-2 + 0.1 * i, 3) for i in range(41))
 
 
@@ -75,39 +78,40 @@ def power_likelihood(
 ) -> DataFrame:
     """Log-likelihood of each candidate lambda of each column: (column_name, lam, loglik).
 
-    Candidates are spread inside the scan and folded by partial aggregation, so rows
-    are never shuffled and the generated code does not grow with the grid. Sums are
-    taken around the transformed centre to keep the variance accurate."""
-    per_column = []
-    for c in columns:
-        x = as_column(c).cast("double")
-        candidates = F.array(
-            *[
-                F.struct(F.lit(float(g)).alias("lam"), F.lit(transform_value(centers[c], g)).alias("mid"))
-                for g in grids[c]
-            ]
-        )
-        per_column.append(
-            F.struct(
-                F.lit(c).alias("column_name"), F.log1p(F.abs(x)).alias("size"), (x >= 0).alias("up"),
-                candidates.alias("candidates"),
-            )
-        )
-    cells = spread(df.select(*[as_column(c) for c in columns])).select(F.inline(F.array(*per_column))).filter(F.col("size").isNotNull())
-    tried = cells.select("column_name", "size", "up", F.inline("candidates"))
-    power = F.when(F.col("up"), F.col("lam")).otherwise(2.0 - F.col("lam"))
-    tried = tried.withColumn("power", power)
-    size = F.when(F.abs("power") < 1e-12, F.col("size")).otherwise(
-        F.expm1(F.col("power") * F.col("size")) / F.col("power")
-    )
-    tried = tried.withColumn("y", F.when(F.col("up"), size).otherwise(-size) - F.col("mid"))
-    sums = tried.groupBy("column_name", "lam").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("ss"),
-        F.sum(F.when(F.col("up"), F.col("size")).otherwise(-F.col("size"))).alias("j"),
-    )
+    One aggregate holds two sums per candidate of a few columns, so a row is read once and
+    never repeated. Sums are taken around the transformed centre to keep the variance accurate."""
+    out = None
+    for at in range(0, len(columns), COLUMNS_PER_JOB):
+        some = columns[at : at + COLUMNS_PER_JOB]
+        part = long_rows(*_likelihood_sums(df, some, grids, centers))
+        out = part if out is None else out.unionByName(part)
     variance = (F.col("ss") - F.col("s") * F.col("s") / F.col("n")) / F.col("n")
     likelihood = -F.col("n") / 2 * F.log(variance) + (F.col("lam") - 1) * F.col("j")
-    return sums.select("column_name", "lam", F.when(variance > 0, likelihood).alias("loglik"))
+    return out.select("column_name", "lam", F.when(variance > 0, likelihood).alias("loglik"))
+
+
+def _likelihood_sums(df: DataFrame, columns: Sequence[str], grids: dict, centers: dict) -> tuple[DataFrame, list]:
+    """One row with the sums of all candidates of some columns, and the structs that name them."""
+    cells = spread(df.select(*[as_column(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]))
+    sized = cells.select(*[e for i in range(len(columns)) for e in (F.log1p(F.abs(f"x{i}")).alias(f"z{i}"), (F.col(f"x{i}") >= 0).alias(f"up{i}"))])
+    sums, structs = [], []
+    for i, c in enumerate(columns):
+        z, up = F.col(f"z{i}"), F.col(f"up{i}")
+        sums += [F.count(z).alias(f"n{i}"), F.sum(F.when(up, z).otherwise(-z)).alias(f"j{i}")]
+        for k, lam in enumerate(grids[c]):
+            y = F.when(up, _power_of(z, lam)).otherwise(-_power_of(z, 2.0 - lam)) - F.lit(transform_value(centers[c], lam))
+            sums += [F.sum(y).alias(f"s{i}_{k}"), F.sum(y * y).alias(f"q{i}_{k}")]
+            structs.append(
+                F.struct(
+                    F.lit(c).alias("column_name"), F.lit(float(lam)).alias("lam"), F.col(f"n{i}").alias("n"),
+                    F.col(f"s{i}_{k}").alias("s"), F.col(f"q{i}_{k}").alias("ss"), F.col(f"j{i}").alias("j"),
+                )
+            )
+    return sized.agg(*sums), structs
+
+
+def _power_of(size, power: float):
+    return size if abs(power) < 1e-12 else F.expm1(F.lit(power) * size) / F.lit(power)
 
 
 def _best(rows, columns) -> dict[str, float]:
@@ -122,20 +126,22 @@ def _best(rows, columns) -> dict[str, float]:
 def fit_power(df: DataFrame, columns: Sequence[str], centers: dict[str, float]) -> dict[str, float]:
     """Maximum-likelihood lambda per column: grid of step 0.1, then 0.005 around the best.
 
-    When the best candidate is the end of the grid, the grid moves on beyond it."""
+    When the best candidate is the end of the grid, the grid moves on beyond it until the
+    maximum is inside; a column whose likelihood still grows at LAMBDA_LIMIT is reported."""
     grids = {c: list(COARSE_GRID) for c in columns}
     best: dict[str, float] = {}
     open_columns = list(columns)
-    for _ in range(4):
+    while open_columns:
         found = _best(power_likelihood(df, open_columns, grids, centers).collect(), open_columns)
         best |= found
         on_edge = [c for c in open_columns if found[c] in (grids[c][0], grids[c][-1])]
         for c in on_edge:
             step = -1 if found[c] == grids[c][0] else 1
             grids[c] = sorted(round(found[c] + step * 0.1 * i, 3) for i in range(41))
-        open_columns = on_edge
-        if not open_columns:
-            break
+        open_columns = [c for c in on_edge if abs(found[c]) < LAMBDA_LIMIT]
+        for c in on_edge:
+            if c not in open_columns:
+                warnings.warn(f"{c}: the power likelihood still grows at lambda {found[c]}", stacklevel=2)
     fine = {c: [round(best[c] - 0.1 + 0.005 * i, 4) for i in range(41)] for c in columns}
     return _best(power_likelihood(df, columns, fine, centers).collect(), columns)
 
@@ -188,28 +194,62 @@ def apply_z_score(df: DataFrame, stats: dict[str, list[float]]) -> DataFrame:
 # ---- dummy columns --------------------------------------------------------
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str] | None = None, max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
+def fit_levels(
+    df: DataFrame, columns: Sequence[str] | None = None, max_levels: int = MAX_LEVELS, wide: list[str] | None = None
+) -> dict[str, list[str]]:
     """Sorted distinct values of each text column, all columns in one job.
 
-    One output column per level needs a bounded number of levels; more than
-    `max_levels` is an error, `one_hot_vector` takes such columns instead."""
+    One output column per level needs a bounded number of levels. Columns with more than
+    `max_levels` are named in the list `wide` if one is given, else they are an error."""
     names = list(columns) if columns is not None else text_columns(df)
     if not names:
         return {}
     long = df.select(*[as_column(c).cast("string").alias(c) for c in names]).unpivot([], names, "name", "level")
     distinct = long.filter(F.col("level").isNotNull()).distinct()
     sizes = {r["name"]: r["count"] for r in distinct.groupBy("name").count().collect()}
-    wide = [c for c in names if sizes.get(c, 0) > max_levels]
-    if wide:
-        raise ValueError(f"more than {max_levels} levels in {wide}: drop them or use one_hot_vector")
-    levels: dict[str, list[str]] = {c: [] for c in names}
+    many = [c for c in names if sizes.get(c, 0) > max_levels]
+    if many and wide is None:
+        raise ValueError(f"more than {max_levels} levels in {many}: drop them, or use one_hot_vector or the list `wide`")
+    if many:
+        wide += many
+        distinct = distinct.filter(~F.col("name").isin(many))
+    levels: dict[str, list[str]] = {c: [] for c in names if c not in set(many)}
     for r in distinct.collect():
         levels[r["name"]].append(r["level"])
     return {c: sorted(v) for c, v in levels.items()}
 
 
-def dummy_names(levels: dict[str, list[str]]) -> list[str]:
-    return [f"{c}_{level}" for c, values in levels.items() for level in values[1:]]
+def strongest_levels(df: DataFrame, columns: Sequence[str], target: str, k: int) -> dict[str, list[str]]:
+    """Of all 0/1 columns that the levels of wide text columns would give, the k best by ANOVA F and the k best
+    by mutual information with a 0/1 target; the first level of a column has no dummy.
+
+    Levels are counted in long form, so no column and no list of levels is ever made of them."""
+    y = as_column(target).cast("long")
+    total = df.agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("p")).first()
+    n, p = total["n"], total["p"] or 0
+    if not columns or p in (0, n):
+        return {}
+    long = df.select(y.alias("__y"), *[as_column(c).cast("string").alias(c) for c in columns]).unpivot(["__y"], list(columns), "name", "level")
+    counts = long.filter(F.col("level").isNotNull()).groupBy("name", "level").agg(F.count(F.lit(1)).cast("double").alias("k"), F.sum("__y").cast("double").alias("kp"))
+    firsts = long.groupBy("name").agg(F.min("level").alias("first"))
+    counts = counts.join(F.broadcast(firsts), "name").filter(F.col("level") > F.col("first"))
+    k1, k0, n1, n0 = F.col("kp"), F.col("k") - F.col("kp"), float(p), float(n - p)
+    mean, a, b = F.col("k") / n, k1 / n1, k0 / n0
+    between = n1 * (a - mean) * (a - mean) + n0 * (b - mean) * (b - mean)
+    within = n1 * a * (1 - a) + n0 * b * (1 - b)
+    f = F.when(within > 0, between / within * (n - 2)).otherwise(F.lit(float("inf")))
+
+    def term(cell, row, side):
+        return F.when(cell > 0, cell / n * F.log(cell * n / (row * side))).otherwise(0.0)
+
+    rest = F.lit(float(n)) - F.col("k")
+    information = term(k1, F.col("k"), n1) + term(k0, F.col("k"), n0) + term(n1 - k1, rest, n1) + term(n0 - k0, rest, n0)
+    out: dict[str, list[str]] = {}
+    for score in (F.round(f, 9), F.round(information, 12)):  # equal cells tie whatever the order of the sums
+        for r in counts.orderBy(score.desc(), "name", "level").limit(k).select("name", "level").collect():
+            if r["level"] not in out.setdefault(r["name"], []):
+                out[r["name"]].append(r["level"])
+    return out
 
 
 def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:

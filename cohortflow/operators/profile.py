@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.functions.columns import number_columns, text_columns
+from cohortflow.functions.columns import number_columns
 from cohortflow.functions.expressions import as_column, bin_index
 from cohortflow.operators.quantiles import exact_quantiles
-from cohortflow.sources.scratch import spread
+from cohortflow.sources.scratch import materialize, spread
+
+PAIRS_PER_JOB = 200
 
 
 def long_rows(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -83,19 +89,24 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 
 
 def describe_all(df: DataFrame) -> DataFrame:
-    """One row per column: count; unique, top, freq for text; mean, std, min, quartiles, max for numbers."""
-    texts, numbers = text_columns(df), number_columns(df)
+    """One row per column: count; unique, top, freq for text and all other kinds (as text); mean, std, min, quartiles, max for numbers."""
+    numbers = number_columns(df)
+    texts = [c for c in df.columns if c not in set(numbers)]
     frames = []
     if texts:
-        long = df.select(*[as_column(c) for c in texts]).unpivot([], texts, "column_name", "value")
-        per_value = long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
-            F.count(F.lit(1)).alias("n")
+        long = df.select(*[as_column(c).cast("string").alias(c) for c in texts]).unpivot([], texts, "column_name", "value")
+        per_value = materialize(
+            long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")), "value_counts"
         )
+        # sums hash; only the few values of the highest frequency are compared as text
+        sums = per_value.groupBy("column_name").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"))
+        most = per_value.join(F.broadcast(sums.select("column_name", F.col("freq").alias("n"))), ["column_name", "n"])
+        top = most.groupBy("column_name").agg(F.min("value").alias("top"))
+        names = df.sparkSession.createDataFrame([(c,) for c in texts], "column_name string")
+        empty = {"count": F.coalesce("count", F.lit(0)), "unique": F.coalesce("unique", F.lit(0))}
         frames.append(
-            per_value.groupBy("column_name").agg(
-                F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
-                F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top"), F.max("n").alias("freq"),
-            )
+            names.join(F.broadcast(sums), "column_name", "left").join(F.broadcast(top), "column_name", "left").withColumns(empty)
+            .select("column_name", "count", "unique", "top", "freq")
         )
     if numbers:
         quartiles = quantile_table(df, numbers, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
@@ -176,23 +187,65 @@ def top_correlated(df: DataFrame, features: Sequence[str], target: str, n: int)
     return found.orderBy(F.desc_nulls_last("correlation"), "feature").limit(n)
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str], pairs_per_job: int = 200) -> DataFrame:
-    """Pairwise correlations in long form (column_a, column_b, correlation)."""
+def corr_matrix(df: DataFrame, columns: Sequence[str], pairs_per_job: int = PAIRS_PER_JOB) -> DataFrame:
+    """Pairwise correlations in long form (column_a, column_b, correlation), each over the rows where both are present.
+
+    Without missing cells one pass over row vectors gives the whole matrix; columns with
+    missing cells are then compared pair by pair, several pairs a job."""
     cols = {c: as_column(c).cast("double") for c in columns}
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    out = None
+    found = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(x).alias(f"c{i}") for i, x in enumerate(cols.values())]).first()
+    whole = [c for i, c in enumerate(columns) if found["n"] and found[f"c{i}"] == found["n"]]
+    rows = _full_correlations(df, whole)
+    partial = set(columns) - set(whole)
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:] if a in partial or b in partial]
     for at in range(0, len(pairs), pairs_per_job):
         some = pairs[at : at + pairs_per_job]
-        wide = df.agg(*[_correlation(cols[a], cols[b]).alias(f"c{i}") for i, (a, b) in enumerate(some)])
-        structs = []
-        for i, (a, b) in enumerate(some):
-            for left, right in dict.fromkeys([(a, b), (b, a)]):
-                structs.append(
-                    F.struct(
-                        F.lit(left).alias("column_a"), F.lit(right).alias("column_b"),
-                        F.col(f"c{i}").alias("correlation"),
-                    )
-                )
-        part = long_rows(wide, structs)
-        out = part if out is None else out.unionByName(part)
+        wide = df.agg(*[_correlation(cols[a], cols[b]).alias(f"c{i}") for i, (a, b) in enumerate(some)]).first()
+        rows += [(a, b, wide[f"c{i}"]) for i, (a, b) in enumerate(some)]
+    rows += [(b, a, r) for a, b, r in rows if a != b]
+    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
+
+
+def _full_correlations(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, float | None]]:
+    """Upper triangle for columns without missing cells; null beside a constant column."""
+    if not columns:
+        return []
+    numbers = df.select(*[as_column(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    vectors = VectorAssembler(inputCols=numbers.columns, outputCol="v").transform(numbers).select("v")
+    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    spread_of = df.agg(*[F.stddev_pop(as_column(c).cast("double")).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    flat = {c for i, c in enumerate(columns) if not spread_of[f"s{i}"]}
+    return [
+        (a, b, None if a in flat or b in flat or math.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+        if j >= i
+    ]
+
+
+def profile(df: DataFrame, target: str | None = None, bins: int = 20) -> dict[str, DataFrame]:
+    """Everything a first look at a table shows: shape, summary, null counts, correlations, histograms and box
+    numbers of the numeric columns, and class shares of the target."""
+    numbers = number_columns(df)
+    nulls = df.agg(*[F.count_if(as_column(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    out = {
+        "shape": shape(df),
+        "summary": describe_all(df),
+        "nulls": long_rows(nulls, [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("nulls")) for i, c in enumerate(df.columns)]),
+    }
+    if numbers:
+        out |= {"correlations": corr_matrix(df, numbers), "boxes": box_stats(df, numbers)}
+        charts = [histogram(df, c, bins).withColumn("column_name", F.lit(c)) for c in numbers]
+        out["histograms"] = reduce(DataFrame.unionByName, charts)
+    if target is not None:
+        out["classes"] = class_shares(df, target)
     return out
+
+
+def before_and_after(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Box numbers and skewness of the same columns around a treatment (clipping, power transform), told apart by `stage`."""
+    def one(df: DataFrame, stage: str) -> DataFrame:
+        skew = moments(df, columns).select("column_name", "skewness", "min", "max")
+        return box_stats(df, columns).join(F.broadcast(skew), "column_name").withColumn("stage", F.lit(stage))
+
+    return one(before, "before").unionByName(one(after, "after"))

@@ -14,22 +14,26 @@ from pyspark.sql import functions as F
 from cohortflow.functions.expressions import as_column, hash_key
 from cohortflow.operators.binning import with_steps
 
-BUCKET_DIGITS = 3  # 16**3 = 4096 equally likely buckets
-MAX_CLASSES = 1000
+ROWS_PER_BUCKET = 100_000  # of one class; hash buckets are equally likely
+BROADCAST_OFFSETS = 1_000_000
+COARSE_DIGITS = 3
+MAX_RANGES = 20_000  # borders that reach the driver; beyond 2e9 distinct values ranges get wider
 FEW_COPIES = 1000
 COPIES_PER_CHUNK = 10_000
 
 
-def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class. The number of classes is checked, it must not grow with the data."""
-    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return {r[label]: r["count"] for r in sorted(rows, key=lambda r: (r[label] is None, r[label]))}
+def class_counts(df: DataFrame, label: str) -> DataFrame:
+    """Rows per class: label, count. A null label is a class like any other."""
+    return df.groupBy(label).count()
+
+
+def bucket_digits(rows: int) -> int:
+    """Hexadecimal digits of the hash that give buckets of about ROWS_PER_BUCKET rows."""
+    return max(1, math.ceil(math.log(max(1, rows / ROWS_PER_BUCKET), 16)))
 
 
 def with_hash_order(
-    df: DataFrame, seed: int, key: Sequence[str] | None
+    df: DataFrame, seed: int, key: Sequence[str] | None, digits: int
 ) -> tuple[DataFrame, list[Column]]:
     """Add __h (hash), __b (bucket) and __m (copies), and give the order inside a bucket.
 
@@ -42,7 +46,7 @@ def with_hash_order(
     else:
         keyed, order = df.groupBy(*[as_column(c) for c in columns]).agg(F.count(F.lit(1)).alias("__m")), columns
     keyed = keyed.withColumn("__h", hash_key(seed, *[as_column(c) for c in order]))
-    keyed = keyed.withColumn("__b", F.substring("__h", 1, BUCKET_DIGITS))
+    keyed = keyed.withColumn("__b", F.substring("__h", 1, digits))
     return keyed, [F.col("__h"), *[as_column(c) for c in order]]
 
 
@@ -62,20 +66,42 @@ def spread_copies(df: DataFrame, index: str = "__i") -> DataFrame:
     return few.unionByName(many.withColumn(index, F.explode(F.sequence(start, end))).drop("__chunk"))
 
 
+def _same(column: str, other: str):
+    """Equal, or both null."""
+    return as_column(column).eqNullSafe(F.col(other))
+
+
+def _offsets(keyed: DataFrame, label: str) -> DataFrame:
+    """Per class and bucket: its rows (__n) and those of all earlier buckets of the class (__offset).
+
+    Sums run over the buckets of one coarse bucket, then over the at most 4096 coarse ones."""
+    counts = keyed.groupBy(as_column(label).alias("__label"), "__b").agg(F.sum("__m").alias("__n"))
+    counts = counts.withColumn("__c", F.substring("__b", 1, COARSE_DIGITS))
+    fine = Window.partitionBy("__label", "__c").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    coarse = Window.partitionBy("__label").orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy("__label", "__c").agg(F.sum("__n").alias("__t"))
+    totals = totals.select(F.col("__label").alias("__l"), F.col("__c").alias("__cc"), F.coalesce(F.sum("__t").over(coarse), F.lit(0)).alias("__before"))
+    inside = counts.withColumn("__in", F.coalesce(F.sum("__n").over(fine), F.lit(0)))
+    joined = inside.join(totals, F.col("__label").eqNullSafe(F.col("__l")) & (F.col("__c") == F.col("__cc")))
+    return joined.select("__label", F.col("__b").alias("__ob"), "__n", (F.col("__before") + F.col("__in")).alias("__offset"))
+
+
 def hash_rank(
     df: DataFrame, label: str, seed: int, key: Sequence[str] | None = None, name: str = "class_rank"
 ) -> DataFrame:
     """1-based rank of every row inside its class, in seeded hash order."""
-    keyed, order = with_hash_order(df, seed, key)
-    counts = keyed.groupBy(label, "__b").agg(F.sum("__m").alias("__n"))
-    before = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(label, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    digits = bucket_digits(df.count())
+    keyed, order = with_hash_order(df, seed, key, digits)
+    offsets = _offsets(keyed, label).drop("__n")
+    if 16**digits <= BROADCAST_OFFSETS // 16:
+        # a row per class and bucket; more than the bound are joined by a shuffle on the ranking's own keys
+        offsets = F.broadcast(offsets) if offsets.count() <= BROADCAST_OFFSETS else offsets
     inside = Window.partitionBy(label, "__b").orderBy(*order)
     if key:
         local = F.row_number().over(inside).cast("long")
     else:
         local = F.sum("__m").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__m") + 1
-    ranked = keyed.withColumn("__r", local).join(F.broadcast(offsets), [label, "__b"])
+    ranked = keyed.withColumn("__r", local).join(offsets, _same(label, "__label") & (F.col("__b") == F.col("__ob")))
     ranked = ranked.withColumn(name, F.col("__offset") + F.col("__r"))
     if not key:
         ranked = spread_copies(ranked).withColumn(name, F.col(name) + F.col("__i"))
@@ -83,27 +109,24 @@ def hash_rank(
 
 
 def take_per_class(
-    df: DataFrame, label: str, quotas: dict, seed: int, key: Sequence[str] | None = None, name: str = "is_test"
+    df: DataFrame, label: str, quotas: DataFrame, seed: int, key: Sequence[str] | None = None, name: str = "is_test"
 ) -> DataFrame:
-    """Flag exactly quotas[class] rows per class: the first ones in seeded hash order.
+    """Flag exactly `quota` rows per class of the table quotas (label, quota): the first ones in seeded hash order.
 
     Only the rows of one bucket per class are ranked; every other bucket is wholly
     inside or outside the quota, so the bulk of the data is not moved at all."""
-    spark = df.sparkSession
-    keyed, order = with_hash_order(df, seed, key)
-    counts = keyed.groupBy(label, "__b").agg(F.sum("__m").alias("__n"))
-    quota_rows = [(k, int(v)) for k, v in quotas.items()]
-    kind = df.schema[label].dataType.simpleString()
-    quota = spark.createDataFrame(quota_rows, f"`{label}` {kind}, __quota long")
-    upto = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    keyed, order = with_hash_order(df, seed, key, bucket_digits(df.count()))
+    wanted = quotas.select(as_column(label).alias("__q"), F.col("quota").alias("__quota"))
+    end = F.col("__offset") + F.col("__n")
     cut = (
-        counts.withColumn("__end", F.sum("__n").over(upto))
-        .join(F.broadcast(quota), label)
-        .filter(F.col("__end") >= F.col("__quota"))
-        .groupBy(label)
-        .agg(F.min(F.struct("__b", (F.col("__quota") - F.col("__end") + F.col("__n")).alias("left"))).alias("__cut"))
+        _offsets(keyed, label)
+        .join(wanted, F.col("__label").eqNullSafe(F.col("__q")))
+        .filter(end >= F.col("__quota"))
+        .groupBy("__label")
+        .agg(F.min(F.struct(F.col("__ob").alias("__b"), (F.col("__quota") - F.col("__offset")).alias("left"))).alias("__cut"))
     )
-    joined = keyed.join(F.broadcast(cut), label)
+    classes = cut.count()  # one row per class
+    joined = keyed.join(F.broadcast(cut) if classes <= BROADCAST_OFFSETS else cut, _same(label, "__label"))
     inside = Window.partitionBy(label).orderBy(*order)
     cut_bucket = F.col("__cut.__b")
     settled = joined.filter(F.col("__b") != cut_bucket).withColumn(
@@ -125,13 +148,15 @@ def take_per_class(
 
 
 def running_totals(
-    df: DataFrame, value: str, sums: Sequence[str], buckets: int = 256
+    df: DataFrame, value: str, sums: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """For one row per distinct value: totals of `sums` over all larger values.
 
     Adds <name>_above per column. Value ranges of about equal size come from a quantile
     sketch (at most `buckets` numbers reach the driver); their borders affect only the
     balance of the work, not the result."""
+    if buckets is None:
+        buckets = min(MAX_RANGES, max(16, math.ceil(df.count() / ROWS_PER_BUCKET)))
     probs = [i / buckets for i in range(1, buckets)]
     edges = sorted(set(df.approxQuantile(value, probs, 0.5 / buckets)))
     placed = with_steps(df, {value: edges}).withColumnRenamed(f"{value}__step", "__b")
@@ -147,13 +172,15 @@ def running_totals(
     return joined.select(*[as_column(c) for c in df.columns], *above)
 
 
-def largest_remainder(counts: dict, share: float) -> dict:
-    """Whole-number quotas per class that add up to ceil(share * total)."""
-    total = math.ceil(round(share * sum(counts.values()), 9))
-    raw = {k: share * v for k, v in counts.items()}
-    quotas = {k: math.floor(round(v, 9)) for k, v in raw.items()}
-    spare = total - sum(quotas.values())
-    by_remainder = sorted(raw, key=lambda k: (-round(raw[k] - quotas[k], 9), str(k)))
-    for k in by_remainder[:spare]:
-        quotas[k] += 1
-    return quotas
+def largest_remainder(counts: DataFrame, label: str, share: float) -> DataFrame:
+    """Whole-number quotas per class (label, quota) that add up to ceil(share * total)."""
+    raw = F.lit(float(share)) * F.col("count")
+    base = F.floor(F.round(raw, 9))
+    parts = counts.select(as_column(label), base.alias("quota"), F.round(raw - base, 9).alias("__left"))
+    sums = counts.agg(F.sum("count").alias("n"), F.sum(base).alias("q")).first()
+    spare = math.ceil(round(share * (sums["n"] or 0), 9)) - (sums["q"] or 0)
+    # fewer spare rows than classes: they go to the largest remainders
+    text = F.coalesce(as_column(label).cast("string"), F.lit("None"))
+    first = parts.orderBy(F.desc("__left"), text).limit(max(0, spare)).select(as_column(label).alias("__l"), F.lit(1).alias("__one"))
+    more = parts.join(first, _same(label, "__l"), "left")
+    return more.select(as_column(label), (F.col("quota") + F.coalesce("__one", F.lit(0))).alias("quota"))

@@ -6,14 +6,15 @@ back. Numbers use a 101-point quantile table, categories their cumulative shares
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 from statistics import NormalDist
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +22,9 @@ from cohortflow.functions.columns import is_text
 from cohortflow.functions.expressions import as_column, standard_normal, uniform
 from cohortflow.operators.binning import with_interpolation, with_steps
 from cohortflow.operators.quantiles import exact_quantiles
-from cohortflow.sources.scratch import materialize
+from cohortflow.operators.joins import lookup_join
+from cohortflow.operators.ranking import hash_rank
+from cohortflow.sources.scratch import materialize, scratch_path
 
 SYNTHETIC_ROWS = 5000
 KNOTS = 101
@@ -70,13 +73,15 @@ class CopulaSpec:
     levels: dict[str, list]  # categories: [values, score borders, score of each value]
     null_share: dict[str, float]
     root: list[list[float]]  # lower triangular factor of the score correlation
+    wide: dict[str, str] = field(default_factory=dict)  # categories with very many values: the stored table of their intervals
 
 
 def fit_copula(df: DataFrame, columns: Sequence[str] | None = None) -> CopulaSpec:
     """Marginal tables and score correlation. Id and datetime columns are left out.
 
     The driver receives only these tables: 101 numbers per numeric column, the level
-    counts of a category (their number is checked) and one square matrix."""
+    counts of a category and one square matrix. A category with more than MAX_CATEGORIES values
+    keeps its table in the shared folder and meets rows and draws by joins."""
     if columns is None:
         columns = [c for c, kind in infer_kinds(df).items() if kind not in ("id", "datetime")]
     columns = list(columns)
@@ -94,28 +99,28 @@ def fit_copula(df: DataFrame, columns: Sequence[str] | None = None) -> CopulaSpe
     scores = [normal.inv_cdf(min(max(p, _EDGE), 1 - _EDGE)) for p in probs]
     tables = exact_quantiles(df, numbers, probs) if numbers else {}
     knots = {c: [tables[c], scores] for c in numbers if tables[c][0] is not None}
-    levels = _category_tables(df, categories)
-    usable = [c for c in columns if c in knots or c in levels]
-    coded = _to_scores(df, usable, knots, levels)
+    levels, wide = _category_tables(df, categories)
+    usable = [c for c in columns if c in knots or c in levels or c in wide]
+    coded = _to_scores(df, usable, knots, levels, wide)
     assembled = VectorAssembler(inputCols=coded.columns, outputCol="z").transform(coded).select("z")
     matrix = Correlation.corr(assembled, "z").first()[0].toArray()
     return CopulaSpec(
-        usable, {c: kinds[c].dataType.simpleString() for c in usable}, knots, levels, null_share, _factor(matrix).tolist()
+        usable, {c: kinds[c].dataType.simpleString() for c in usable}, knots, levels, null_share, _factor(matrix).tolist(), wide
     )
 
 
-def _category_tables(df: DataFrame, categories: Sequence[str]) -> dict[str, list]:
+def _category_tables(df: DataFrame, categories: Sequence[str]) -> tuple[dict[str, list], dict[str, str]]:
+    """Tables of the categories, and the stored tables of those with very many values."""
     if not categories:
-        return {}
+        return {}, {}
     text = [as_column(c).cast("string").alias(c) for c in categories]
     long = df.select(*text).unpivot([], list(categories), "name", "level").filter(F.col("level").isNotNull())
     counts = long.groupBy("name", "level").agg(F.count(F.lit(1)).alias("n"))
     sizes = {r["name"]: r["count"] for r in counts.groupBy("name").count().collect()}
-    wide = [c for c, size in sizes.items() if size > MAX_CATEGORIES]
-    if wide:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {wide}: leave these columns out")
-    found: dict[str, list] = {c: [] for c in categories}
-    for r in counts.collect():
+    many = [c for c, size in sizes.items() if size > MAX_CATEGORIES]
+    wide = {c: _interval_table(counts.filter(F.col("name") == c).select("level", "n")) for c in many}
+    found: dict[str, list] = {c: [] for c in categories if c not in wide}
+    for r in counts.filter(~F.col("name").isin(many)).collect() if many else counts.collect():
         found[r["name"]].append((-r["n"], r["level"]))
     normal, out = NormalDist(), {}
     for c, pairs in found.items():
@@ -127,18 +132,70 @@ def _category_tables(df: DataFrame, categories: Sequence[str]) -> dict[str, list
         middle = upper - shares / shares.sum() / 2
         borders = [normal.inv_cdf(min(max(u, 1e-9), 1 - 1e-9)) for u in upper[:-1]]
         out[c] = [[v for _, v in pairs], borders, [normal.inv_cdf(float(m)) for m in middle]]
-    return out
+    return out, wide
+
+
+def _interval_table(counts: DataFrame) -> str:
+    """Store (level, low, mid, high): each value's interval of normal scores, the most frequent values first.
+
+    Values of equal frequency are ranked in hash order inside buckets, and the sums over the
+    frequencies have one row per frequency, so no task sees all values."""
+    spark = counts.sparkSession
+    ranked = hash_rank(counts, "n", 42, ["level"], "rank")
+    per_n = counts.groupBy("n").agg((F.sum("n")).alias("rows"))
+    total = per_n.agg(F.sum("rows")).first()[0]
+    before = Window.partitionBy(F.lit(0)).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    bases = per_n.select("n", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
+    placed = ranked.join(bases, "n").select("level", (F.col("base") + (F.col("rank") - 1) * F.col("n")).alias("first"), "n")
+
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        normal = NormalDist()
+
+        def score(share: float) -> float:
+            return -np.inf if share <= 0 else np.inf if share >= 1 else normal.inv_cdf(share)
+
+        for b in batches:
+            lows, sizes = b["first"].to_numpy() / total, b["n"].to_numpy() / total
+            yield pd.DataFrame({
+                "level": b["level"], "low": [score(x) for x in lows], "mid": [score(x) for x in lows + sizes / 2],
+                "high": [score(x) for x in (b["first"] + b["n"]).to_numpy() / total],
+            })
+
+    path = scratch_path(spark, "category")
+    placed.mapInPandas(scores, "level string, low double, mid double, high double").write.parquet(path)
+    return path
+
+
+def _score_cell(score: Column) -> Column:
+    """Scores in cells of a thousandth, the ends open."""
+    return F.floor(F.greatest(F.least(score, F.lit(7.0)), F.lit(-7.0)) * 1000).cast("int")
 
 
-def _to_scores(df: DataFrame, columns: Sequence[str], knots: dict, levels: dict) -> DataFrame:
+def _levels_at(df: DataFrame, score: str, path: str, output: str) -> DataFrame:
+    """Add the value whose interval holds the score: the intervals tile the line, cells bring them together."""
+    table = df.sparkSession.read.parquet(path).select("level", "low", "high")
+    cells = table.select("level", "low", "high", F.explode(F.sequence(_score_cell(F.col("low")), _score_cell(F.col("high")))).alias("__cell"))
+    met = df.withColumn("__cell", _score_cell(F.col(score))).join(cells, "__cell")
+    return met.filter((F.col("low") <= F.col(score)) & (F.col(score) < F.col("high"))).withColumnRenamed("level", output).drop("__cell", "low", "high")
+
+
+def _to_scores(df: DataFrame, columns: Sequence[str], knots: dict, levels: dict, wide: dict[str, str]) -> DataFrame:
     """Normal scores z0, z1, ...; a missing cell scores 0."""
     position = {c: i for i, c in enumerate(columns)}
-    numbers = df.select(
-        *[
-            (as_column(c).cast("double") if c in knots else _category_score(c, levels)).alias(f"x{i}")
-            for c, i in position.items()
-        ]
-    )
+    shown = [
+        (as_column(c).cast("double") if c in knots else as_column(c).cast("string")).alias(f"x{i}") for c, i in position.items()
+    ]
+    numbers = df.select(*shown)
+    for c, i in position.items():
+        if c in knots:
+            continue
+        if c in wide:
+            table = df.sparkSession.read.parquet(wide[c]).select(F.col("level").alias(f"x{i}"), F.col("mid").alias(f"m{i}"))
+            numbers = lookup_join(numbers, table, [f"x{i}"])
+        else:
+            table = df.sparkSession.createDataFrame(list(zip(levels[c][0], levels[c][2], strict=True)), f"x{i} string, m{i} double")
+            numbers = numbers.join(F.broadcast(table), f"x{i}", "left")  # at most MAX_CATEGORIES rows
+        numbers = numbers.drop(f"x{i}").withColumnRenamed(f"m{i}", f"x{i}")
     tables = {}
     for c in knots:
         grouped: dict[float, list[float]] = {}
@@ -152,12 +209,6 @@ def _to_scores(df: DataFrame, columns: Sequence[str], knots: dict, levels: dict)
     )
 
 
-def _category_score(column: str, levels: dict) -> Column:
-    names, _, middles = levels[column]
-    lookup = F.create_map(*[F.lit(v) for pair in zip(names, middles, strict=True) for v in pair])
-    return F.try_element_at(lookup, as_column(column).cast("string"))
-
-
 def _factor(matrix: np.ndarray) -> np.ndarray:
     """Cholesky factor; undefined correlations (constant columns) count as 0.
 
@@ -174,11 +225,11 @@ def sample_copula(spark: SparkSession, spec: CopulaSpec, n: int = SYNTHETIC_ROWS
     """n synthetic rows. Each row depends only on the seed and its number."""
     row = F.col("id")
     ids = spark.range(n)
-    draws = ids.select(row, *[standard_normal(f"{seed}.{i}", row).alias(f"g{i}") for i in range(len(spec.columns))])
+    draws = ids.select(row, F.array(*[standard_normal(f"{seed}.{i}", row) for i in range(len(spec.columns))]).alias("g"))
     scored = draws.select(
         row,
         *[
-            sum((F.lit(float(w)) * F.col(f"g{j}") for j, w in enumerate(weights[: i + 1]) if w), F.lit(0.0)).alias(f"z{i}")
+            _dot(weights[: i + 1]).alias(f"z{i}")
             for i, weights in enumerate(spec.root)
         ],
     )
@@ -187,6 +238,8 @@ def sample_copula(spark: SparkSession, spec: CopulaSpec, n: int = SYNTHETIC_ROWS
     mapped = with_interpolation(scored, tables, "v") if tables else scored
     borders = {position[c]: spec.levels[c][1] for c in spec.levels}
     mapped = with_steps(mapped, borders, "v") if borders else mapped
+    for c, path in spec.wide.items():
+        mapped = _levels_at(mapped, position[c], path, f"{position[c]}v")
     out = []
     for i, c in enumerate(spec.columns):
         value, kind = F.col(f"z{i}v"), spec.types[c]
@@ -201,6 +254,12 @@ def sample_copula(spark: SparkSession, spec: CopulaSpec, n: int = SYNTHETIC_ROWS
     return mapped.select(*out)
 
 
+def _dot(weights: Sequence[float]) -> Column:
+    """Product of the drawn vector g with a row of weights, as one fold whatever its length."""
+    pairs = F.zip_with(F.col("g"), F.array(*[F.lit(float(w)) for w in weights]), lambda a, w: F.coalesce(a * w, F.lit(0.0)))
+    return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x)
+
+
 def append_synthetic(real: DataFrame, synthetic: DataFrame) -> DataFrame:
     """Real rows followed by synthetic ones, told apart by is_synthetic; columns matched by name."""
     return real.withColumn("is_synthetic", F.lit(False)).unionByName(

@@ -43,7 +43,7 @@ def _winsorised(df, key, column):
 
 def _winsor_sql(table, key, column):
     return f"""
-WITH bounds AS ({_bounds_sql(column, table)})
+WITH bounds AS MATERIALIZED ({_bounds_sql(column, table)})
 SELECT {key}, round(least(greatest({column}, lower), upper), 5) AS {column} FROM {table}, bounds"""
 
 
@@ -82,7 +82,7 @@ def _power_inputs(spark, sf_dir):
 
 
 def _with_sources(*more):
-    sources = [f"{c}_src AS (SELECT {e} AS x FROM {t})" for c, (t, e) in _POWER_INPUTS.items()]
+    sources = [f"{c}_src AS MATERIALIZED (SELECT {e} AS x FROM {t})" for c, (t, e) in _POWER_INPUTS.items()]
     return "WITH " + ", ".join([*sources, _COARSE, *more])
 
 
@@ -104,9 +104,9 @@ def yeo_johnson_grid(spark, sf_dir):
 
 def _best_lambda(c):
     return [
-        f"{c}_first AS (SELECT lam AS best FROM ({_likelihood_sql(f'{c}_src', 'coarse')}) ORDER BY ll DESC, lam LIMIT 1)",
-        f"{c}_fine AS (SELECT round(best - 0.1e0 + 0.005e0 * i, 4) AS lam FROM {c}_first, range(41) AS r(i))",
-        f"{c}_best AS (SELECT lam FROM ({_likelihood_sql(f'{c}_src', f'{c}_fine')}) ORDER BY ll DESC, lam LIMIT 1)",
+        f"{c}_first AS MATERIALIZED (SELECT lam AS best FROM ({_likelihood_sql(f'{c}_src', 'coarse')}) ORDER BY ll DESC, lam LIMIT 1)",
+        f"{c}_fine AS MATERIALIZED (SELECT round(best - 0.1e0 + 0.005e0 * i, 4) AS lam FROM {c}_first, range(41) AS r(i))",
+        f"{c}_best AS MATERIALIZED (SELECT lam FROM ({_likelihood_sql(f'{c}_src', f'{c}_fine')}) ORDER BY ll DESC, lam LIMIT 1)",
     ]
 
 
@@ -165,10 +165,10 @@ def _applied_sql():
     steps, shown = [], []
     for c in ("los", "avg_chart_val"):
         steps += [
-            f"{c}_bounds AS ({_bounds_sql(c, 'cohort')})",
-            f"{c}_src AS (SELECT least(greatest(coalesce({c}, 0), lower), upper) AS x FROM cohort, {c}_bounds)",
+            f"{c}_bounds AS MATERIALIZED ({_bounds_sql(c, 'cohort')})",
+            f"{c}_src AS MATERIALIZED (SELECT least(greatest(coalesce({c}, 0), lower), upper) AS x FROM cohort, {c}_bounds)",
             *_best_lambda(c),
-            f"{c}_ends AS (SELECT min({_yj_sql('x', 'lam')}) AS lo, max({_yj_sql('x', 'lam')}) AS hi FROM {c}_src, {c}_best)",
+            f"{c}_ends AS MATERIALIZED (SELECT min({_yj_sql('x', 'lam')}) AS lo, max({_yj_sql('x', 'lam')}) AS hi FROM {c}_src, {c}_best)",
         ]
         clipped = f"least(greatest(coalesce({c}, 0), (SELECT lower FROM {c}_bounds)), (SELECT upper FROM {c}_bounds))"
         value = _yj_sql(clipped, f"(SELECT lam FROM {c}_best)")

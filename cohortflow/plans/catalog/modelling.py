@@ -1,16 +1,20 @@
-"""Classifiers, comparison, grid search, training and scoring runs.
+"""Classifiers, comparison, grid search, training and scoring runs, at the library's full sizes.
 
-Model sizes are small here; the defaults of the library are those of the full runs."""
+The searches are cut to a few candidates of the defined grids, whose full size is some
+hundred forests of 100 to 200 trees: bench.py runs them whole on request. SQL cannot fit these models. Their
+twins state what must hold of every fit: which rows are held out, that labels follow from scores,
+that metrics are recounted the same, that a gradient is zero at the optimum."""
 
 from dataclasses import asdict
 
 from pyspark.ml.classification import LinearSVC
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortflow.operators import models as M
 from cohortflow.operators.balance import smote_balance
 from cohortflow.operators.neighbors import knn_classify
-from cohortflow.operators.preprocess import apply_z_score, fit_levels, fit_z_score, one_hot
+from cohortflow.operators.preprocess import apply_z_score, fit_levels, fit_shaping, fit_z_score, one_hot
 from cohortflow.operators.split import cv_folds, stratified_split
 from cohortflow.plans import stand_ins as S
 from cohortflow.plans.catalog.profiling import rounded_all
@@ -39,46 +43,99 @@ def _scored(spark, sf_dir, make):
     return rounded_all(scored.select("hadm_id", F.col("label").cast("int").alias("label"), "prediction", "probability"))
 
 
-@query("fit_logreg")
-def fit_logreg(spark, sf_dir):
-    return _scored(spark, sf_dir, lambda train, _: M.logistic(train.count()))
+# the split of sides(), stated over feat
+_PARTS_SQL = """
+sizes AS (SELECT hospital_expire_flag AS y, count(*) AS n, 0.3e0 * count(*) AS want FROM feat GROUP BY 1),
+quota AS (SELECT y, floor(round(want, 9)) + CASE WHEN row_number() OVER (ORDER BY round(want - floor(round(want, 9)), 9) DESC, CAST(y AS VARCHAR))
+                 <= ceil(round(0.3e0 * (SELECT sum(n) FROM sizes), 9)) - (SELECT sum(floor(round(want, 9))) FROM sizes) THEN 1 ELSE 0 END AS q FROM sizes),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY hospital_expire_flag ORDER BY md5('42|' || hadm_id), hadm_id) AS r FROM feat),
+parts AS (SELECT ranked.*, r <= q AS is_test FROM ranked JOIN quota ON quota.y = hospital_expire_flag)"""
+
+_HELD_OUT_SQL = sql_with("SELECT hadm_id, hospital_expire_flag AS label, true AS consistent FROM parts WHERE is_test", _PARTS_SQL)
 
 
-@query("fit_gbt")
+def _consistent(scored, border=0.5):
+    """The held-out rows, and whether each label follows from its score."""
+    p = F.col("probability")
+    follows = (F.col("prediction") == (p > border).cast("int")) | (F.abs(p - border) < 1e-6)
+    inside = p.between(0, 1) if border else F.lit(True)
+    return scored.select("hadm_id", "label", (follows & inside).alias("consistent"))
+
+
+@query("fit_logreg", "SELECT i AS coefficient, 0.0e0 AS gradient FROM range(6) AS r(i)")
+def fit_logreg(spark, sf_dir):
+    """The penalised gradient at the fitted coefficients (the last one is the intercept), from the training rows."""
+    from pyspark.ml.functions import vector_to_array
+
+    train, _, _ = sides(spark, sf_dir)
+    n = train.count()
+    estimator = M.logistic(n)
+    model = M.as_pipeline(estimator.fit(train)).stages[0]
+    weights, penalty = model.coefficients.toArray().tolist(), estimator.getRegParam()
+    x = vector_to_array("features")
+    margin = F.lit(float(model.intercept))
+    for i, w in enumerate(weights):
+        margin = margin + F.lit(float(w)) * x[i]
+    miss = 1 / (1 + F.exp(-margin)) - F.col("label")
+    sums = train.agg(*[F.avg(miss * x[i]).alias(f"g{i}") for i in range(len(weights))], F.avg(miss).alias("g")).first()
+    gradient = [sums[f"g{i}"] + penalty * w for i, w in enumerate(weights)] + [sums["g"]]
+    return spark.createDataFrame([(i, abs(round(g, 3))) for i, g in enumerate(gradient)], "coefficient long, gradient double")
+
+
+@query("fit_gbt", _HELD_OUT_SQL)
 def fit_gbt(spark, sf_dir):
-    return _scored(spark, sf_dir, lambda *_: M.gradient_boosting(trees=10))
+    return _consistent(_scored(spark, sf_dir, lambda *_: M.gradient_boosting()))
 
 
-@query("fit_hist_gbt")
+@query("fit_hist_gbt", _HELD_OUT_SQL)
 def fit_hist_gbt(spark, sf_dir):
-    return _scored(spark, sf_dir, lambda *_: M.hist_boosting(trees=5))
+    return _consistent(_scored(spark, sf_dir, lambda *_: M.hist_boosting()))
 
 
-@query("fit_rf")
+@query("fit_rf", _HELD_OUT_SQL)
 def fit_rf(spark, sf_dir):
-    return _scored(spark, sf_dir, lambda *_: M.random_forest(trees=20, depth=8))
+    return _consistent(_scored(spark, sf_dir, lambda *_: M.random_forest()))
 
 
-@query("fit_svm_rff")
+@query("fit_svm_rff", _HELD_OUT_SQL)
 def fit_svm_rff(spark, sf_dir):
-    return _scored(
-        spark, sf_dir,
-        lambda _, scaled: M.kernel_svm(M.kernel_width(scaled, S.FEATURES), width=64, iterations=10),
-    )
+    return _consistent(_scored(spark, sf_dir, lambda _, scaled: M.kernel_svm(M.kernel_width(scaled, S.FEATURES))))
+
+
+@query(
+    "stump_split",
+    sql_with(
+        """
+SELECT round(min(value), 6) AS least_right, round((SELECT max(avg_chart_val) FROM feat WHERE avg_chart_val < (SELECT min(value) FROM best)), 6) AS greatest_left
+FROM best""",
+        """
+cells AS (SELECT avg_chart_val AS value, count(*) AS n, sum(hospital_expire_flag) AS p FROM feat GROUP BY 1),
+run AS (SELECT value, coalesce(sum(n) OVER w, 0) AS nl, coalesce(sum(p) OVER w, 0) AS pl, sum(n) OVER () AS n, sum(p) OVER () AS p FROM cells
+        WINDOW w AS (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+gains AS (SELECT value, 2e0 * (p / n) * (1 - p / n) - nl / n * 2e0 * (pl / nl) * (1 - pl / nl)
+                 - (n - nl) / n * 2e0 * ((p - pl) / (n - nl)) * (1 - (p - pl) / (n - nl)) AS gain FROM run WHERE nl > 0),
+best AS (SELECT value FROM gains ORDER BY gain DESC, value LIMIT 1)""",
+    ),
+)
+def stump_split(spark, sf_dir):
+    """The one split of a depth-1 tree that considers every border: the values on its two sides."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    rows = materialize(S.admission_features(spark, sf_dir).select("hadm_id", TARGET, "avg_chart_val"), "admissions")
+    bins = max(2, rows.select("avg_chart_val").distinct().count() + 1)
+    train = M.assemble(rows, ["avg_chart_val"], TARGET)
+    tree = DecisionTreeClassifier(featuresCol=M.FEATURES, labelCol=M.LABEL, maxDepth=1, maxBins=bins).fit(train)
+    threshold = float(tree._call_java("rootNode").split().threshold())
+    x = F.col("avg_chart_val")
+    return rounded_all(rows.agg(F.min(F.when(x > threshold, x)).alias("least_right"), F.max(F.when(x <= threshold, x)).alias("greatest_left")))
 
 
 def _bayes_sql():
-    quota = """
-sizes AS (SELECT hospital_expire_flag AS y, count(*) AS n, 0.3e0 * count(*) AS want FROM feat GROUP BY 1),
-quota AS (SELECT y, floor(round(want, 9)) + CASE WHEN row_number() OVER (ORDER BY round(want - floor(round(want, 9)), 9) DESC, CAST(y AS VARCHAR))
-                 <= ceil(round(0.3e0 * (SELECT sum(n) FROM sizes), 9)) - (SELECT sum(floor(round(want, 9))) FROM sizes) THEN 1 ELSE 0 END AS q FROM sizes),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY hospital_expire_flag ORDER BY md5('42|' || hadm_id), hadm_id) AS r FROM feat),
-parts AS (SELECT ranked.*, r <= q AS is_test FROM ranked JOIN quota ON quota.y = hospital_expire_flag)"""
     scale = ", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in S.FEATURES)
     shown = ", ".join(f"({f} - m_{f}) / coalesce(nullif(s_{f}, 0), 1) AS {f}" for f in S.FEATURES)
     moments = ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in S.FEATURES)
     density = " ".join(f"+ CASE WHEN v_{f} > 0 THEN - 0.5e0 * ln(2 * pi() * v_{f}) - pow({f} - m_{f}, 2) / (2 * v_{f}) ELSE 0 END" for f in S.FEATURES)
-    steps = f"""{quota},
+    steps = f"""{_PARTS_SQL},
 scale AS (SELECT {scale} FROM parts WHERE NOT is_test),
 scaled AS (SELECT hadm_id, hospital_expire_flag AS y, is_test, {shown} FROM parts, scale),
 fitted AS (SELECT y, count(*) AS n, {moments} FROM scaled WHERE NOT is_test GROUP BY y),
@@ -96,10 +153,10 @@ def fit_gaussian_nb(spark, sf_dir):
     return _scored(spark, sf_dir, lambda *_: M.gaussian_bayes())
 
 
-@query("score_fallback")
+@query("score_fallback", _HELD_OUT_SQL)
 def score_fallback(spark, sf_dir):
-    """A model without probabilities reports its decision value."""
-    return _scored(spark, sf_dir, lambda *_: LinearSVC(featuresCol=M.FEATURES, labelCol=M.LABEL, maxIter=10))
+    """A model without probabilities reports its decision value, whose sign is the label."""
+    return _consistent(_scored(spark, sf_dir, lambda *_: LinearSVC(featuresCol=M.FEATURES, labelCol=M.LABEL)), border=0)
 
 
 def _nearest(train, test):
@@ -112,45 +169,85 @@ def _nearest(train, test):
     return votes.join(test.select(F.col("hadm_id").alias("id"), "label"), "id")
 
 
-@query("model_comparison")
+_METRICS = ("Accuracy", "Precision", "Recall", "F1-score", "ROC AUC")
+
+
+def _recounted_sql(models):
+    names = " UNION ALL ".join(f"SELECT '{m}' AS model" for m in models)
+    metrics = " UNION ALL ".join(f"SELECT '{m}' AS metric" for m in _METRICS)
+    return sql_with(
+        f"SELECT model, metric, (SELECT count(*) FROM parts WHERE is_test) AS held_out, true AS same FROM ({names}) CROSS JOIN ({metrics})", _PARTS_SQL
+    )
+
+
+def _recounted(metrics, predictions):
+    """Metrics against plain counts of the stored predictions, and the pair count that the area under the curve is."""
+    y, p, s = F.col("label") == 1, F.col("prediction") == 1, F.col("probability")
+    out = None
+    for model, rows in predictions.items():
+        ranks = rows.groupBy(s.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.count_if(y).alias("pos"))
+        below = Window.partitionBy(F.lit(0)).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)  # one row per distinct score of the small held-out side
+        won = ranks.withColumn("neg", F.col("n") - F.col("pos")).withColumn("under", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+        area = won.agg((F.sum(F.col("pos") * (F.col("under") + F.col("neg") / 2)) / (F.sum("pos") * F.sum("neg"))).alias("ROC AUC")).first()[0]
+        c = rows.agg(
+            F.count_if(y == p).alias("right"), F.count_if(y & p).alias("tp"), F.count_if(y).alias("y"), F.count_if(p).alias("p"), F.count(F.lit(1)).alias("n")
+        ).first()
+        precision, recall = c["tp"] / max(1, c["p"]), c["tp"] / max(1, c["y"])
+        want = [c["right"] / c["n"], precision, recall, 2 * precision * recall / max(precision + recall, 1e-300), area]
+        part = spark_rows(rows, [(model, m, c["n"], float(v)) for m, v in zip(_METRICS, want, strict=True)])
+        out = part if out is None else out.unionByName(part)
+    joined = metrics.join(out, ["model", "metric"])
+    return joined.select("model", "metric", "held_out", (F.abs(F.col("value") - F.col("want")) < 1e-9).alias("same"))
+
+
+def spark_rows(df, rows):
+    return df.sparkSession.createDataFrame(rows, "model string, metric string, held_out long, want double")
+
+
+_COMPARED = ("Logistic Regression", "LightGBM", "Gradient Boosting", "Random Forest", "SVM", "Naive Bayes", "KNN")
+
+
+@query("model_comparison", _recounted_sql(_COMPARED))
 def model_comparison(spark, sf_dir):
     train, test, scaled = sides(spark, sf_dir)
-    gamma = M.kernel_width(scaled, S.FEATURES)
-    compared = {
-        "Logistic Regression": M.logistic(train.count()), "LightGBM": M.hist_boosting(trees=3),
-        "Gradient Boosting": M.gradient_boosting(trees=5), "Random Forest": M.random_forest(trees=10, depth=6),
-        "SVM": M.kernel_svm(gamma, width=32, iterations=5), "Naive Bayes": M.gaussian_bayes(),
-    }
-    metrics, _, _ = M.compare_models(train, test, compared, knn=_nearest)
-    return rounded_all(metrics)
+    compared = M.base_models(train.count(), M.kernel_width(scaled, S.FEATURES))
+    metrics, _, predictions = M.compare_models(train, test, compared, knn=_nearest)
+    return _recounted(metrics, predictions)
 
 
-def _folded(train):
-    return cv_folds(train.select("hadm_id", "label"), "label", 3, key=["hadm_id"]).drop("label").join(train, "hadm_id")
+def _folded(train, folds=5):
+    return cv_folds(train.select("hadm_id", "label"), "label", folds, key=["hadm_id"]).drop("label").join(train, "hadm_id")
 
 
-@query("grid_search")
+@query("grid_search", "SELECT 4 AS candidates, 1 AS best_rows, true AS best_is_maximum, true AS are_shares")
 def grid_search(spark, sf_dir):
     train, _, _ = sides(spark, sf_dir)
-    _, table = M.grid_search(
-        materialize(_folded(train), "folds"), M.gradient_boosting(), {"maxIter": [2, 4], "maxDepth": [3]}, folds=3
-    )
-    return rounded_all(table)
+    grid = {"maxIter": [5, 10], "maxDepth": M.BOOSTING_GRID["maxDepth"][:2]}
+    _, table = M.grid_search(materialize(_folded(train), "folds"), M.gradient_boosting(), grid, folds=5)
+    top = F.max("accuracy")
+    return table.agg(
+        F.count(F.lit(1)).cast("int").alias("candidates"), F.count_if("best").cast("int").alias("best_rows"),
+        (F.max(F.when(F.col("best"), F.col("accuracy"))) == top).alias("best_is_maximum"), ((F.min("accuracy") > 0.4) & (top <= 1)).alias("are_shares"),
+    )
+
+
+_TUNED = ("Random Forest (Tuned)", "Gradient Boosting (Tuned)", "LightGBM (Tuned)")
 
 
-@query("tuned_comparison")
+@query("tuned_comparison", _recounted_sql(_TUNED))
 def tuned_comparison(spark, sf_dir):
     train, test, _ = sides(spark, sf_dir)
-    folded = materialize(_folded(train), "folds")
+    folded = materialize(_folded(train, 3), "folds")
     searches = {
-        "Random Forest": (M.random_forest(), {"numTrees": [5], "maxDepth": [4, 6]}),
-        "Gradient Boosting": (M.gradient_boosting(), {"maxIter": [3], "stepSize": [0.05, 0.1]}),
+        "Random Forest": (M.random_forest(), {"numTrees": [10], "maxDepth": M.FOREST_GRID["maxDepth"][:2]}),
+        "Gradient Boosting": (M.gradient_boosting(), {"maxIter": [5], "stepSize": M.BOOSTING_GRID["stepSize"]}),
+        "LightGBM": (M.hist_boosting(), {"maxIter": [5], "stepSize": M.HIST_GRID["stepSize"][1:]}),
     }
     predictions = {}
     for name, (estimator, grid) in searches.items():
         best, _ = M.grid_search(folded, estimator, grid, folds=3)
         predictions[f"{name} (Tuned)"] = materialize(M.predict(best, test).select("label", "prediction", "probability"), "tuned")
-    return rounded_all(M.evaluate_models(predictions, "label", "prediction", "probability"))
+    return _recounted(M.evaluate_models(predictions, "label", "prediction", "probability"), predictions)
 
 
 def _encoded(spark, sf_dir):
@@ -163,13 +260,15 @@ def _trained(spark, sf_dir):
     encoded, levels = _encoded(spark, sf_dir)
     run = TrainingRun(spark, encoded, TARGET, levels, key=["hadm_id"])
     folder = scratch_path(spark, "model")
-    report = run.run(folder, M.gradient_boosting(trees=5))
-    return folder, report
+    report = run.run(folder, M.gradient_boosting())
+    return run, report
 
 
-@query("train_model")
+@query("train_model", _recounted_sql(["trained"]))
 def train_model(spark, sf_dir):
-    return rounded_all(_trained(spark, sf_dir)[1]["metrics"])
+    run, report = _trained(spark, sf_dir)
+    predictions = run.predictions.select("label", "prediction", "probability")
+    return _recounted(report["metrics"].withColumn("model", F.lit("trained")), {"trained": predictions})
 
 
 def _bayes_scorer(spark, sf_dir):
@@ -243,6 +342,27 @@ def score_batch_eval(spark, sf_dir):
     return report["metrics"].withColumn("value", value)
 
 
+@query("score_raw", sql_with("SELECT hadm_id, true AS same, round(charges, 2) AS charges, round(avg_chart_val, 4) AS avg_chart_val FROM feat"))
+def score_raw(spark, sf_dir):
+    """Raw rows through the saved preprocessing score as rows that were shaped in training; every raw row stays as it was."""
+    rows = materialize(S.admission_features(spark, sf_dir).select("hadm_id", TARGET, *S.FEATURES), "admissions")
+    spec = fit_shaping(rows, ("avg_chart_val", "charges", "avg_lab_val"))
+    shaped = spec.shape(rows)
+    scale = fit_z_score(shaped, S.FEATURES)
+    model = M.gaussian_bayes().fit(M.assemble(apply_z_score(shaped, scale), S.FEATURES, TARGET))
+    folder = scratch_path(spark, "model")
+    save_model(M.as_pipeline(model), f"{folder}/model")
+    save_json(spark, asdict(FeatureSpec(list(S.FEATURES), {}, scale, preprocess=asdict(spec))), f"{folder}/feature_spec")
+    save_features(spark, S.FEATURES, f"{folder}/feature_columns")
+    raw = Scorer.load(spark, folder).score(rows.drop(TARGET))
+    known = Scorer.load(spark, folder, shaped=True).score(shaped.drop(TARGET))
+    known = known.select("hadm_id", F.col("predicted_label").alias("l"), F.col("predicted_probability").alias("p"))
+    same = (F.col("predicted_label") == F.col("l")) & (F.abs(F.col("predicted_probability") - F.col("p")) < 1e-9)
+    return raw.join(known, "hadm_id").select(
+        "hadm_id", same.alias("same"), F.round("charges", 2).alias("charges"), F.round("avg_chart_val", 4).alias("avg_chart_val")
+    )
+
+
 @query(
     "balanced_classes",
     """

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions.columns import SHAPED_COLUMNS, fill_missing
 from cohortflow.functions.expressions import AGE_EDGES, AGE_LABELS, LOS_EDGES, LOS_LABELS
 from cohortflow.operators import profile
+from cohortflow.operators.preprocess import clip_columns
 from cohortflow.plans import stand_ins as S
 from cohortflow.plans.catalog.registry import query
 from cohortflow.plans.stand_ins import read, sql_with
@@ -74,7 +75,7 @@ def _describe_sql(table, texts, numbers):
     for c in texts:
         parts.append(f"""
 SELECT '{c}' AS column_name, count({c}) AS count, count(DISTINCT {c}) AS "unique",
-       (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS top,
+       (SELECT CAST({c} AS VARCHAR) FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 1) AS top,
        (SELECT count(*) FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) AS freq,
        CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS p25,
        CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p75, CAST(NULL AS DOUBLE) AS max FROM {table}""")
@@ -88,10 +89,10 @@ SELECT '{c}', count({c}), NULL, NULL, NULL, round(avg({x}), 4), round(stddev_sam
 
 @query(
     "describe_all",
-    _describe_sql("lineitem", ["l_returnflag", "l_linestatus"], ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LINE_NUMBERS]),
+    _describe_sql("lineitem", ["l_returnflag", "l_linestatus", "l_shipdate"], ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LINE_NUMBERS]),
 )
 def describe_all(spark, sf_dir):
-    out = profile.describe_all(read(spark, sf_dir, "lineitem").drop("l_shipdate"))
+    out = profile.describe_all(read(spark, sf_dir, "lineitem"))
     return out.withColumns({**{c: F.round(c, 4) for c in ("mean", "std")}, **{c: F.round(c, 6) for c in ("p25", "p50", "p75")}})
 
 
@@ -209,3 +210,55 @@ def top_correlated(spark, sf_dir):
 )
 def corr_matrix(spark, sf_dir):
     return rounded_all(profile.corr_matrix(read(spark, sf_dir, "lineitem"), LINE_NUMBERS))
+
+
+_BOTH_STAGES = " UNION ALL ".join(
+    f"""
+SELECT 'value' AS column_name, '{stage}' AS stage, round(any_value(q1), 4) AS q1, round(any_value(med), 4) AS median, round(any_value(q3), 4) AS q3,
+       count(*) FILTER (x < q1 - 1.5e0 * (q3 - q1) - 1e-9 OR x > q3 + 1.5e0 * (q3 - q1) + 1e-9) AS outliers,
+       round(sum(pow(x - m, 3)) / count(*) / pow(sum(pow(x - m, 2)) / count(*), 1.5e0), 4) AS skewness, round(min(x), 4) AS min, round(max(x), 4) AS max
+FROM {source}, (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS med, quantile_cont(x, 0.75) AS q3, avg(x) AS m FROM {source})"""
+    for stage, source in (("before", "raw"), ("after", "clipped"))
+)
+
+
+@query(
+    "before_after_clipping",
+    f"""
+WITH raw AS (SELECT value AS x FROM events),
+q AS (SELECT quantile_cont(x, 0.25) AS a, quantile_cont(x, 0.75) AS b FROM raw),
+clipped AS (SELECT least(greatest(x, a - 1.5e0 * (b - a)), b + 1.5e0 * (b - a)) AS x FROM raw, q)
+SELECT * FROM ({_BOTH_STAGES})""",
+)
+def before_after_clipping(spark, sf_dir):
+    """Box numbers and skewness of a skewed column around clipping to its fences."""
+    raw = read(spark, sf_dir, "events").select("value")
+    bounds = clip_bounds(raw)
+    both = profile.before_and_after(raw, clip_columns(raw, bounds), ["value"])
+    shown = both.select("column_name", "stage", "q1", "median", "q3", "outliers", "skewness", "min", "max")
+    return rounded_all(shown, 4)
+
+
+def clip_bounds(df):
+    found = profile.quantile_table(df, ["value"], [0.25, 0.75], ["q1", "q3"]).first()
+    spread = 1.5 * (found["q3"] - found["q1"])
+    return {"value": {"lower": found["q1"] - spread, "upper": found["q3"] + spread}}
+
+
+@query(
+    "profile_customer",
+    """
+WITH n AS (SELECT count(*) AS n FROM customer)
+SELECT column_name, nulls, n AS n_rows FROM n, (
+  SELECT 'c_custkey' AS column_name, count(*) - count(c_custkey) AS nulls FROM customer UNION ALL SELECT 'c_name', count(*) - count(c_name) FROM customer
+  UNION ALL SELECT 'c_nationkey', count(*) - count(c_nationkey) FROM customer UNION ALL SELECT 'c_acctbal', count(*) - count(c_acctbal) FROM customer
+  UNION ALL SELECT 'c_mktsegment', count(*) - count(c_mktsegment) FROM customer)""",
+)
+def profile_customer(spark, sf_dir):
+    """The whole profile in one call; shown are its null counts and, once per numeric column and bin, that histograms add up."""
+    found = profile.profile(read(spark, sf_dir, "customer"), "c_mktsegment")
+    rows = found["shape"].first()["n_rows"]
+    counted = {r["n"] for r in found["histograms"].groupBy("column_name").agg(F.sum("count").alias("n")).collect()}
+    if counted != {rows} or found["classes"].agg(F.sum("count")).first()[0] != rows:
+        raise ValueError("histograms or classes do not add up to the rows")
+    return found["nulls"].withColumn("n_rows", F.lit(rows))

@@ -9,7 +9,8 @@ from cohortflow.operators.synth import fit_copula, sample_copula
 from cohortflow.plans import stand_ins as S
 from cohortflow.plans.catalog.profiling import rounded_all
 from cohortflow.plans.catalog.registry import query
-from cohortflow.plans.stand_ins import read
+from cohortflow.plans.stand_ins import read, sql_with
+from cohortflow.sources.scratch import materialize
 
 WIDTH = 64
 
@@ -27,6 +28,34 @@ quota AS (SELECT y, floor(round(want, 9)) + CASE WHEN row_number() OVER (ORDER B
                  <= ceil(round({share} * (SELECT sum(n) FROM sizes), 9)) - (SELECT sum(floor(round(want, 9))) FROM sizes) THEN 1 ELSE 0 END AS q FROM sizes)"""
 
 
+_GAPS = "src AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y FROM orders)"
+
+
+def _orders_with_gaps(spark, sf_dir):
+    return _orders(spark, sf_dir).withColumn("y", F.when(F.col("k") % 10 != 0, F.col("y")))
+
+
+@query(
+    "split_null_labels",
+    f"""
+WITH {_GAPS}, {_quota_sql("0.3e0").replace("CAST(y AS VARCHAR)", "coalesce(CAST(y AS VARCHAR), 'None')")},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5('42|' || k), k) AS r FROM src)
+SELECT k, ranked.y, r <= q AS is_test FROM ranked JOIN quota ON quota.y IS NOT DISTINCT FROM ranked.y""",
+)
+def split_null_labels(spark, sf_dir):
+    return stratified_split(_orders_with_gaps(spark, sf_dir), "y", 0.3, key=["k"])
+
+
+@query(
+    "cv_folds_null_labels",
+    f"""
+WITH {_GAPS}
+SELECT k, y, CAST((row_number() OVER (PARTITION BY y ORDER BY md5('42|' || k), k) - 1) % 5 AS INTEGER) AS fold FROM src""",
+)
+def cv_folds_null_labels(spark, sf_dir):
+    return cv_folds(_orders_with_gaps(spark, sf_dir), "y", 5, key=["k"])
+
+
 @query(
     "stratified_split",
     f"""
@@ -130,7 +159,35 @@ def smote_new_rows(spark, sf_dir):
     return rounded_all(smote_rows(wide, "label", features, key=["id"]))
 
 
-@query("synth_copula")
+_SYNTH_TEXT, _SYNTH_NUMBERS = ("gender", "discharge_location", "valueuom"), ("hospital_expire_flag", *S.FEATURES)
+
+
+@query(
+    "synth_copula",
+    sql_with(
+        " UNION ALL ".join(
+            [f"SELECT '{c}' AS column_name, 5000 AS n_rows, count(DISTINCT {c}) AS levels, true AS alike FROM feat" for c in _SYNTH_TEXT]
+            + [f"SELECT '{c}', 5000, NULL, true" for c in _SYNTH_NUMBERS]
+        )
+    ),
+)
 def synth_copula(spark, sf_dir):
-    real = S.admission_features(spark, sf_dir).drop("hadm_id", "subject_id")
-    return sample_copula(spark, fit_copula(real, real.columns))
+    """Synthetic rows against the real ones: the same categories with about the same shares, and quartiles and
+    range of numbers within a twentieth of the real range."""
+    real = materialize(S.admission_features(spark, sf_dir).drop("hadm_id", "subject_id"), "admissions")
+    made = materialize(sample_copula(spark, fit_copula(real, real.columns)), "synthetic")
+    n, n_made = real.count(), made.count()
+    out = []
+    for c in _SYNTH_TEXT:
+        shares = real.groupBy(c).agg((F.count(F.lit(1)) / n).alias("a")).join(made.groupBy(c).agg((F.count(F.lit(1)) / n_made).alias("b")), c, "full")
+        found = shares.agg(F.count("b").alias("levels"), F.max(F.abs(F.coalesce("a", F.lit(0)) - F.coalesce("b", F.lit(0)))).alias("off")).first()
+        out.append((c, n_made, found["levels"], found["off"] < 0.05))
+    probs = [0.25, 0.5, 0.75]
+    for c in _SYNTH_NUMBERS:
+        ends = real.agg(F.min(c), F.max(c)).first()
+        width = max(float(ends[1]) - float(ends[0]), 1e-12)
+        a, b = (df.select(F.col(c).cast("double").alias("x")).approxQuantile("x", probs, 0.002) for df in (real, made))
+        inside = made.filter((F.col(c) < ends[0] - 1e-9) | (F.col(c) > ends[1] + 1e-9)).isEmpty()
+        near = all(abs(x - y) <= 0.05 * width for x, y in zip(a, b, strict=True)) or set(a) | set(b) <= {0.0, 1.0}
+        out.append((c, n_made, None, inside and near))
+    return spark.createDataFrame(out, "column_name string, n_rows long, levels long, alike boolean")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.operators.cohort import build_cohort, chart_summary, diagnosis_summary, lab_summary, with_demographics
+from cohortflow.operators.joins import lookup_join
 
 STAY_KEYS = ["hadm_id"]
 LAB_KEYS = ["subject_id"]
@@ -88,7 +89,7 @@ def admission_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = with_demographics(admissions(spark, sf_dir), patients(spark, sf_dir))
     wide = wide.join(chart_summary(chartevents(spark, sf_dir), STAY_KEYS), STAY_KEYS, "left")
     wide = wide.join(diagnosis_summary(diagnoses(spark, sf_dir), STAY_KEYS), STAY_KEYS, "left")
-    wide = wide.join(lab_summary(labevents(spark, sf_dir), LAB_KEYS), LAB_KEYS, "left")
+    wide = lookup_join(wide, lab_summary(labevents(spark, sf_dir), LAB_KEYS), LAB_KEYS)
     price = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("hadm_id"), F.col("o_totalprice").alias("charges"))
     wide = wide.join(price, STAY_KEYS, "left").na.fill("datamiss").na.fill(0)
     return wide.select(
@@ -121,13 +122,13 @@ diag_agg AS (SELECT hadm_id, count(DISTINCT icd9_code) AS diagnosis_count FROM d
 aged AS (SELECT adm.*, pat.dob, pat.gender,
                 LEAST(CAST(trunc(date_diff('day', pat.dob, adm.admittime) / 365.25e0) AS INTEGER), 120) AS age
          FROM adm LEFT JOIN pat USING (subject_id)),
-cohort AS (SELECT aged.*, chart_agg.avg_chart_val, chart_agg.valueuom, diag_agg.diagnosis_count, lab_agg.avg_lab_val,
+cohort AS MATERIALIZED (SELECT aged.*, chart_agg.avg_chart_val, chart_agg.valueuom, diag_agg.diagnosis_count, lab_agg.avg_lab_val,
                   stay.icustay_id, stay.first_wardid, stay.los
            FROM aged LEFT JOIN stay ON stay.hadm_id = aged.hadm_id
                 LEFT JOIN chart_agg ON chart_agg.hadm_id = aged.hadm_id
                 LEFT JOIN lab_agg ON lab_agg.subject_id = aged.subject_id
                 LEFT JOIN diag_agg ON diag_agg.hadm_id = aged.hadm_id),
-feat AS (SELECT aged.hadm_id, aged.subject_id, hospital_expire_flag, coalesce(gender, 'datamiss') AS gender,
+feat AS MATERIALIZED (SELECT aged.hadm_id, aged.subject_id, hospital_expire_flag, coalesce(gender, 'datamiss') AS gender,
                 discharge_location, coalesce(valueuom, 'datamiss') AS valueuom,
                 coalesce(CAST(age AS DOUBLE), 0) AS age, coalesce(avg_chart_val, 0) AS avg_chart_val,
                 coalesce(avg_lab_val, 0) AS avg_lab_val,

@@ -38,14 +38,45 @@ def _session_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/cohortflow/{spark.sparkContext.applicationId}"
 
 
+class ScratchScope:
+    """Collects the intermediate tables that a flow writes while it is entered; delete() removes them.
+
+    A flow is entered step by step and closed once, when its results are stored elsewhere."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> ScratchScope:
+        _SCOPES.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _SCOPES.remove(self)
+
+    def delete(self) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+        self.paths = []
+
+
+_SCOPES: list[ScratchScope] = []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
+    return path
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application; call it when their results are stored."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, _session_folder(spark))
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

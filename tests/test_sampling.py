@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cohortflow.operators import ranking
 from cohortflow.operators.balance import smote_balance, smote_rows
 from cohortflow.operators.neighbors import knn_classify, knn_join, neighbor_rows
 from cohortflow.operators.ranking import hash_rank, largest_remainder, running_totals
@@ -25,16 +26,79 @@ def copies(spark):
     )
 
 
-def test_quotas():
-    assert largest_remainder({0: 7, 1: 3}, 0.3) == {0: 2, 1: 1}
-    assert sum(largest_remainder({0: 333, 1: 333, 2: 334}, 0.2).values()) == 200
+def quotas(spark, counts, share):
+    table = spark.createDataFrame(list(counts.items()), "y int, count long")
+    return {r["y"]: r["quota"] for r in largest_remainder(table, "y", share).collect()}
+
+
+def test_quotas(spark):
+    assert quotas(spark, {0: 7, 1: 3}, 0.3) == {0: 2, 1: 1}
+    assert sum(quotas(spark, {0: 333, 1: 333, 2: 334}, 0.2).values()) == 200
+    assert quotas(spark, {None: 4, 1: 6}, 0.5) == {None: 2, 1: 3}
+
+
+def test_null_labels_and_groups_stay(spark):
+    """A null label is a class, rows without a group are one group: no row is lost."""
+    df = spark.range(100).select(
+        "id", F.when(F.col("id") % 10 != 0, (F.col("id") % 3 == 0).cast("int")).alias("y"), F.when(F.col("id") % 8 != 0, F.col("id") % 9).alias("g")
+    )
+    for key in (["id"], None):
+        parts = stratified_split(df, "y", 0.3, key=key)
+        assert parts.count() == 100 and parts.filter("is_test").count() == 30
+        assert parts.filter("y is null and is_test").count() == 3
+        folds = cv_folds(df, "y", 5, key=key)
+        assert folds.count() == 100 and folds.filter("y is null").groupBy("fold").count().filter("count <> 2").count() == 0
+    grouped = group_split(df, "y", "g", 0.3)
+    assert grouped.drop("is_test").exceptAll(df).count() == 0 and grouped.count() == 100
+    assert grouped.filter("g is null").select("is_test").distinct().count() == 1
+
+
+@pytest.mark.parametrize("rows", [1, 10, 300])
+def test_ranks_over_several_levels_of_buckets(spark, labelled, copies, rows, monkeypatch):
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", rows)
+    monkeypatch.setattr(ranking, "BROADCAST_OFFSETS", 16)
+    monkeypatch.setattr(ranking, "COARSE_DIGITS", 1)
+    ranked = hash_rank(labelled, "y", 42, ["k"])
+    assert ranked.groupBy("y").agg(F.count_distinct("class_rank").alias("n"), F.max("class_rank").alias("m")).filter("n <> m").count() == 0
+    monkeypatch.undo()
+    assert ranked.exceptAll(hash_rank(labelled, "y", 42, ["k"])).count() == 0
+
+
+def test_many_classes(spark):
+    df = spark.range(6000).select("id", (F.col("id") % 1500).alias("y"))
+    parts = stratified_split(df, "y", 0.25, key=["id"])
+    assert parts.filter("is_test").groupBy("y").count().filter("count <> 1").count() == 0
+    assert parts.filter("is_test").count() == 1500
+
+
+def test_new_rows_stay_in_their_class(spark):
+    """Three classes whose ranks coincide: neighbours come from the same class."""
+    rows = [(c, float(c * 1000 + i)) for c, n in ((0, 60), (1, 20), (2, 12)) for i in range(n)] + [(None, 5.0)]
+    df = spark.createDataFrame(rows, "y int, x double")
+    new = smote_rows(df, "y", ["x"], k=3)
+    assert {r["y"]: r["count"] for r in new.groupBy("y").count().collect()} == {1: 40, 2: 48}
+    assert new.filter((F.col("x") < F.col("y") * 1000) | (F.col("x") > F.col("y") * 1000 + 20)).count() == 0
+
+
+def test_categories_without_number(spark):
+    """A text column with more values than the driver is given."""
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "common").otherwise(F.concat(F.lit("v"), F.col("id"))).alias("c"), (F.col("id") % 10).cast("double").alias("x")
+    )
+    spec = fit_copula(df)
+    assert list(spec.wide) == ["c"]
+    made = sample_copula(spark, spec, 900)
+    rows = made.groupBy(F.col("c") == "common").count().collect()
+    assert made.count() == 900 and made.filter("c is null").count() == 0
+    assert abs({r[0]: r["count"] for r in rows}[True] / 900 - 1 / 3) < 0.06
+    assert made.join(df.select("c").distinct(), "c", "left_anti").count() == 0
 
 
 @pytest.mark.parametrize("share", [0.0, 0.2, 0.3, 1.0])
 def test_split_is_exact_and_repeatable(labelled, share):
     once = stratified_split(labelled, "y", share, key=["k"])
     counts = {(r["y"], r["is_test"]): r["count"] for r in once.groupBy("y", "is_test").count().collect()}
-    want = largest_remainder({0: 859, 1: 144}, share)
+    want = quotas(labelled.sparkSession, {0: 859, 1: 144}, share)
     assert {c: counts.get((c, True), 0) for c in (0, 1)} == want
     assert sum(counts.values()) == 1003
     again = stratified_split(labelled.repartition(5), "y", share, key=["k"])
