@@ -5,9 +5,11 @@ hundred forests of 100 to 200 trees: bench.py runs them whole on request. SQL ca
 twins state what must hold of every fit: which rows are held out, that labels follow from scores,
 that metrics are recounted the same, that a gradient is zero at the optimum."""
 
+import re
 from dataclasses import asdict
 
 from pyspark.ml.classification import LinearSVC
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -119,13 +121,12 @@ best AS (SELECT value FROM gains ORDER BY gain DESC, value LIMIT 1)""",
 )
 def stump_split(spark, sf_dir):
     """The one split of a depth-1 tree that considers every border: the values on its two sides."""
-    from pyspark.ml.classification import DecisionTreeClassifier
-
+    # of a 0/1 outcome the variance is half the Gini impurity; leaves of equal labels are not merged
     rows = materialize(S.admission_features(spark, sf_dir).select("hadm_id", TARGET, "avg_chart_val"), "admissions")
     bins = max(2, rows.select("avg_chart_val").distinct().count() + 1)
     train = M.assemble(rows, ["avg_chart_val"], TARGET)
-    tree = DecisionTreeClassifier(featuresCol=M.FEATURES, labelCol=M.LABEL, maxDepth=1, maxBins=bins).fit(train)
-    threshold = float(tree._call_java("rootNode").split().threshold())
+    tree = DecisionTreeRegressor(featuresCol=M.FEATURES, labelCol=M.LABEL, maxDepth=1, maxBins=bins).fit(train)
+    threshold = float(re.search(r"feature 0 <= ([-+.0-9Ee]+)", tree.toDebugString)[1])
     x = F.col("avg_chart_val")
     return rounded_all(rows.agg(F.min(F.when(x > threshold, x)).alias("least_right"), F.max(F.when(x <= threshold, x)).alias("greatest_left")))
 
@@ -342,7 +343,7 @@ def score_batch_eval(spark, sf_dir):
     return report["metrics"].withColumn("value", value)
 
 
-@query("score_raw", sql_with("SELECT hadm_id, true AS same, round(charges, 2) AS charges, round(avg_chart_val, 4) AS avg_chart_val FROM feat"))
+@query("score_raw", sql_with("SELECT hadm_id, true AS same, round(charges, 2) AS charges, age FROM feat"))
 def score_raw(spark, sf_dir):
     """Raw rows through the saved preprocessing score as rows that were shaped in training; every raw row stays as it was."""
     rows = materialize(S.admission_features(spark, sf_dir).select("hadm_id", TARGET, *S.FEATURES), "admissions")
@@ -359,7 +360,7 @@ def score_raw(spark, sf_dir):
     known = known.select("hadm_id", F.col("predicted_label").alias("l"), F.col("predicted_probability").alias("p"))
     same = (F.col("predicted_label") == F.col("l")) & (F.abs(F.col("predicted_probability") - F.col("p")) < 1e-9)
     return raw.join(known, "hadm_id").select(
-        "hadm_id", same.alias("same"), F.round("charges", 2).alias("charges"), F.round("avg_chart_val", 4).alias("avg_chart_val")
+        "hadm_id", same.alias("same"), F.round("charges", 2).alias("charges"), "age"
     )
 
 
