@@ -186,9 +186,11 @@ def train(docs: DataFrame, learn: Column, text_column: str = "text", lang_column
             at = np.flatnonzero(seen)
             yield pd.DataFrame({"lang": lang, "feature": at, "n": seen[at]})
 
-    counted = sample.mapInPandas(count, "lang int, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
+    counted = sample.mapInPandas(count, "lang int, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     seen = np.zeros(((1 << BUCKET_BITS) + N_SCRIPTS, len(names)))
-    seen[counted["feature"].to_numpy(), counted["lang"].to_numpy()] = counted["n"].to_numpy()
+    tables = counted.groupBy("lang").agg(F.collect_list("feature").alias("features"), F.collect_list("n").alias("counts"))
+    for lang, features, counts in tables.collect():  # one row of bounded length per language
+        seen[features, lang] = counts
     grams, scripts = seen[: 1 << BUCKET_BITS], seen[1 << BUCKET_BITS :]
     smoothed = grams + SMOOTHING
     share_of = scripts / np.maximum(scripts.sum(axis=0), 1)
