@@ -211,7 +211,8 @@ _COMPARED = ("Logistic Regression", "LightGBM", "Gradient Boosting", "Random For
 @query("model_comparison", _recounted_sql(_COMPARED))
 def model_comparison(spark, sf_dir):
     train, test, scaled = sides(spark, sf_dir)
-    compared = M.base_models(train.count(), M.kernel_width(scaled, S.FEATURES))
+    # a fifth of the trees of the single fits above, which take minutes each at full size
+    compared = M.base_models(train.count(), M.kernel_width(scaled, S.FEATURES), trees=20)
     metrics, _, predictions = M.compare_models(train, test, compared, knn=_nearest)
     return _recounted(metrics, predictions)
 
