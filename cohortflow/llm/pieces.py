@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 MARK = "▁"  # fixed value: the mark that stands for a space
 UNKNOWN_PENALTY = 10.0  # fixed value of the format: below the lowest score
 UNKNOWN_SURFACE = " ⁇ "  # fixed value of the format
-MEMO = 1 << 19  # words a task remembers
-CHARS_AT_ONCE = 1 << 22
+MEMO = 1 << 18  # words a task remembers
+CHARS_AT_ONCE = 1 << 21
+WORDS_AT_ONCE = 1 << 14  # new words that are segmented together
 SHORT = 256  # characters of a word that is segmented together with others
 GAP = "\0"
 
@@ -180,18 +181,18 @@ class Segmenter:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of whole texts."""
-        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
         if not self.cuts:
-            return [np.array(self.segment(t), "<i4") for t in marked]
-        cut = [_words(t) for t in marked]
+            return [np.array(self.segment(MARK + t.replace(" ", MARK) if t else ""), "<i4") for t in texts]
+        cut = [_words(t or "") for t in texts]
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
         new = list(set().union(*cut) - memo.keys())
-        short = [w for w in new if len(w) <= SHORT]
-        if short:
-            memo.update(zip(short, self.segment_many(short), strict=True))
-        memo.update((w, np.array(self.segment(w), "<i4").tobytes()) for w in new if len(w) > SHORT)
+        short = [w for w in new if len(w) < SHORT]
+        for at in range(0, len(short), WORDS_AT_ONCE):
+            some = short[at : at + WORDS_AT_ONCE]
+            memo.update(zip(some, self.segment_many([_marked(w) for w in some]), strict=True))
+        memo.update((w, np.array(self.segment(_marked(w)), "<i4").tobytes()) for w in new if len(w) >= SHORT)
         return [np.frombuffer(b"".join(map(memo.__getitem__, words)), "<i4") for words in cut]
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -203,11 +204,18 @@ class Segmenter:
         return text[1:] if text[:1] == b" " else text
 
 
-def _words(marked: str) -> list[str]:
-    """A marked text cut before every mark that follows another character."""
-    if MARK + MARK in marked:
-        return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+$", marked)
-    return [MARK + w for w in marked[1:].split(MARK)] if marked else []
+def _words(text: str) -> list[str]:
+    """A text cut before every mark that follows another character. A word after a single space is
+    given bare; a word after several is given with its marks."""
+    if not text:
+        return []
+    if text[0] == " " or "  " in text or MARK in text:
+        return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+$", MARK + text.replace(" ", MARK))
+    return text.split(" ")
+
+
+def _marked(word: str) -> str:
+    return word if word[:1] == MARK else MARK + word
 
 
 def encode_texts(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
