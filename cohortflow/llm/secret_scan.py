@@ -188,12 +188,13 @@ def span_text(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by [kind]; where spans overlap, the one that starts first wins."""
+    """The text with each span replaced by [kind]; overlapping spans become one, named by the one that starts first."""
 
     def step(acc, s):
         gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
         piece = F.concat(acc["out"], gap, F.lit("["), s["kind"], F.lit("]"))
-        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), piece.alias("out"))).otherwise(acc)
+        longer = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
+        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), piece.alias("out"))).otherwise(longer)
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
