@@ -34,7 +34,7 @@ SECRET_RULES = [
     secret_scan.SecretRule("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
     secret_scan.SecretRule("access", r"AKIA[A-Z0-9]+", 0, 20),
     secret_scan.SecretRule("hex", r"[0-9a-f]{24,}", 0, 24),
-    secret_scan.SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    secret_scan.SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", body=True),
     secret_scan.SecretRule("github", r"(ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}"),
     secret_scan.SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     secret_scan.SecretRule("google", r"AIza[A-Za-z0-9_-]{35}"),

@@ -33,12 +33,14 @@ MASK_BITS = 60
 
 class SecretRule(NamedTuple):
     """`pattern` must mean the same to Java, Python and RE2. A match is dropped if its
-    group `group` (0: the whole match) has fewer than `least` characters."""
+    group `group` (0: the whole match) has fewer than `least` characters. A match of a rule with
+    `body` is a first line: what follows up to its END line is redacted as well."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
+    body: bool = False
 
 
 def _strings(tree) -> list[set[str] | None]:
@@ -187,6 +189,28 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+DASHES = "-----"
+END_LINE = r"^-----END [A-Z ]*PRIVATE KEY-----"
+# without an END line: the lines of base64 that follow, also with line breaks written as \n
+BASE64_LINES = r"^(?:(?:\s|\\[rn])*+[A-Za-z0-9+/=]{32,}+){1,1000}+(?:(?:\s|\\[rn])++[A-Za-z0-9+/]{1,31}+={1,2})?"
+
+
+def with_bodies(text: Column, spans: Column, rules: Sequence[SecretRule]) -> Column:
+    """The spans; those of rules with a body end after the END line, or after the base64 lines if there is none."""
+    kinds = [r.kind for r in rules if r.body]
+    if not kinds:
+        return spans
+
+    def longer(s):
+        rest = F.substring(text, s["end"] + 1, F.length(text))
+        body = F.instr(rest, F.lit(DASHES)) - 1
+        line = F.length(F.regexp_extract(F.substring(rest, body + 1, F.length(rest)), END_LINE, 0))
+        more = F.when((body >= 0) & (line > 0), body + line).otherwise(F.length(F.regexp_extract(rest, BASE64_LINES, 0)))
+        return F.when(s["kind"].isin(kinds), s.withField("end", (s["end"] + more).cast("int"))).otherwise(s)
+
+    return F.transform(spans, longer)
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span replaced by [kind]; overlapping spans become one, named by the one that starts first."""
 
@@ -207,7 +231,7 @@ def without_secrets(docs: DataFrame, rules: Sequence[SecretRule], id_column: str
     key = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
     met = docs.withColumn("__key", key).join(small_side(found), F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash")), "left")
     changed = F.col("__spans").isNotNull()
-    met = met.withColumn(text_column, F.when(changed, redacted(F.col(text_column), F.col("__spans"))).otherwise(F.col(text_column)))
+    met = met.withColumn(text_column, F.when(changed, redacted(F.col(text_column), with_bodies(F.col(text_column), F.col("__spans"), rules))).otherwise(F.col(text_column)))
     if size_column in docs.columns:
         size = F.length(text_column).cast(docs.schema[size_column].dataType)
         met = met.withColumn(size_column, F.when(changed, size).otherwise(F.col(size_column)))

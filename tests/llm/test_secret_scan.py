@@ -92,3 +92,19 @@ def test_redaction(spark):
 def test_redaction_of_overlapping_spans(spark, text, want):
     docs = spark.createDataFrame([(1, text, 0)], "doc_id long, text string, n_chars long")
     assert [(r["text"], r["n_chars"]) for r in S.without_secrets(docs, SECRET_RULES).collect()] == [(want, len(want))]
+
+
+def test_redaction_of_key_bodies(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = "\n".join("MIIEabc+/" * 7 for _ in range(60)) + "\nabcd=="
+    texts = {
+        f"🙂 a {begin}\n{lines}\n{end} b": "🙂 a [pem] b",
+        f"a {begin}\nProc-Type: 4,ENCRYPTED\n\n{lines}\n{end}\n{begin}\n{lines}\n{end} b": "a [pem]\n[pem] b",
+        "a " + f"{begin}\n{lines}\n{end}".replace("\n", "\\n") + " b": "a [pem] b",
+        f"a {begin}\n{lines}\nand more prose": "a [pem]\nand more prose",
+        f"a {begin} starts a file": "a [pem] starts a file",
+        f"{begin}\n" + lines * 200 + f"\n{end} z": "[pem] z",
+    }
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in S.without_secrets(docs, SECRET_RULES).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
