@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm import decontaminate, imatch, language, pieces, secret_scan, simhash, token_scan, toxicity, transcripts, urls
+from cohortflow.llm import decontaminate, imatch, language, pieces, secret_scan, simhash, squares, token_scan, toxicity, transcripts, urls
 from cohortflow.llm.tables import labelled, table
 
 #: Folder of the public vocabulary files, on the driver.
@@ -208,3 +208,35 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = transcripts.as_transcript(turns)
     model = transcripts.train(lines.where(~labelled("conv_id", 5, 0)))
     return transcripts.recover(lines.drop("role"), model)
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of every tenth document by crc32 of its id the words from word a on repeat with period p."""
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words")
+    a = F.col("g") % F.greatest(n, F.lit(1))
+    times = 3 + F.col("g") % 8
+    placed = cut.withColumns({"a": a.cast("int"), "p": (1 + F.floor((n - a) / times)).cast("int"), "times": times.cast("int")})
+    again = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.col("times") + 1)), F.lit(1), F.size("words") - F.col("a"))
+    edited = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), again), " ")
+    return placed.select("doc_id", F.when(F.size("words") > 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = squares.periodic_runs(_with_repeats(table(spark, sf_dir, "documents")))
+    # lists are in order of start and period, so the first of equal exponents is kept
+    most = F.reduce("runs", F.expr("CAST(NULL AS struct<start:bigint,length:bigint,period:bigint>)"), _more_periods)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    runs_text = F.when(F.size("runs") > 0, F.concat(F.array_join(line, "\n"), F.lit("\n"))).otherwise("")
+    top = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), most.alias("top"), runs_text.alias("listed"), "collapsed")
+    return top.select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period", F.expr("1000 * top.length DIV top.period").alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def _more_periods(best, run):
+    return F.when(best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best)
