@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm import decontaminate, imatch, language, pieces, secret_scan, simhash, squares, token_scan, toxicity, transcripts, urls
+from cohortflow.llm import (
+    centroids, decontaminate, imatch, language, mixing, pieces, secret_scan, simhash, squares, token_scan, toxicity, transcripts, urls,
+)
 from cohortflow.llm.tables import labelled, table
 
 #: Folder of the public vocabulary files, on the driver.
@@ -240,3 +242,65 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _more_periods(best, run):
     return F.when(best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best)
+
+
+CLUSTERS, CLUSTER_ROUNDS, COMPONENTS, COMPONENT_SCALE = 16, 3, 64, 64
+
+
+def _clusters_sql() -> str:
+    gap = f"list_sum(list_transform(range(1, {COMPONENTS + 1}), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i])))::BIGINT"
+    steps = []
+    for i in range(CLUSTER_ROUNDS + 1):
+        steps.append(f"""
+    near{i} AS MATERIALIZED (SELECT k.no, min(struct_pack(distance := {gap}, c := c.c)) AS best FROM kept k, cent{i} c GROUP BY k.no)""")
+        if i < CLUSTER_ROUNDS:
+            steps.append(f"""
+    sums{i} AS MATERIALIZED (SELECT n.best.c AS c, p.p AS p, sum(k.v[p.p]) AS s, count(*) AS n
+      FROM near{i} n JOIN kept k USING (no), (SELECT unnest(range(1, {COMPONENTS + 1})) AS p) p GROUP BY n.best.c, p.p),
+    cent{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM cent{i} c LEFT JOIN
+      (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY p) AS v FROM sums{i} GROUP BY c) m USING (c))""")
+    return f"""
+    WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS no, vec_id, list_transform(embedding, lambda x: floor({COMPONENT_SCALE} * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings WHERE len(embedding) = {COMPONENTS} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    cent0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1)::INTEGER AS c, v FROM kept
+      ORDER BY sha256('1:' || vec_id) NULLS LAST, v LIMIT {CLUSTERS}),{",".join(steps)}
+    SELECT k.vec_id, n.best.c AS cluster, n.best.distance AS distance, sum(n.best.distance) OVER (PARTITION BY n.best.c)::BIGINT AS cluster_inertia,
+      sum(n.best.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(f.v, ',')) AS centroid_sha256
+    FROM kept k JOIN near{CLUSTER_ROUNDS} n USING (no) JOIN cent{CLUSTER_ROUNDS} f ON f.c = n.best.c"""
+
+
+@query("op12_centroids", _clusters_sql())
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=CLUSTERS, rounds=CLUSTER_ROUNDS, dimensions=COMPONENTS, scale=COMPONENT_SCALE)
+    text = F.array_join(F.transform("components", lambda x: x.cast("string")), ",")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(text.cast("binary"), 256).alias("centroid_sha256"))
+
+
+def _mix_sql() -> str:
+    weights = "[" + ", ".join(map(str, mixing.WEIGHTS)) + "]"
+    return f"""
+    WITH docs AS MATERIALIZED (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}'))::BIGINT AS size,
+      md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS hash FROM documents),
+    numbered AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number FROM docs GROUP BY source),
+    weighed AS (SELECT source, source_size, {weights}[(number - 1) % {len(mixing.WEIGHTS)} + 1]::BIGINT AS weight, {mixing.MOST} * source_size AS most FROM numbered),
+    -- in order of limit over weight, the full sources come first
+    ordered AS (SELECT *, sum(source_size) OVER () - coalesce(sum(most) OVER earlier, 0) AS rest, sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS others
+      FROM weighed WINDOW earlier AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    marked AS (SELECT *, most * others < weight * rest AS is_full FROM ordered),
+    level AS (SELECT sum(source_size) - coalesce(sum(most) FILTER (WHERE is_full), 0) AS rest, sum(weight) FILTER (WHERE NOT is_full) AS others FROM marked),
+    targets AS MATERIALIZED (SELECT source, source_size, CASE WHEN is_full THEN most::DOUBLE ELSE level.rest::DOUBLE * weight / level.others::DOUBLE END AS target FROM marked, level),
+    needs AS MATERIALIZED (SELECT *, target - times * source_size AS need FROM
+      (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS times FROM targets)),
+    running AS (SELECT source, hash, words, sum(words) OVER (PARTITION BY source ORDER BY hash) - words AS below
+      FROM (SELECT source, hash, sum(size) AS words FROM docs GROUP BY source, hash)),
+    edge AS MATERIALIZED (SELECT r.source, r.hash, 2 * (n.need - r.below) > r.words AS with_it FROM running r JOIN needs n ON r.source IS NOT DISTINCT FROM n.source
+      WHERE n.need > 0 AND r.below < n.need AND r.below + r.words >= n.need)
+    SELECT d.doc_id, d.size, n.source_size, n.target,
+      d.size * (n.times + CASE WHEN d.hash < e.hash OR (d.hash = e.hash AND e.with_it) THEN 1 ELSE 0 END) AS taken
+    FROM docs d JOIN needs n ON d.source IS NOT DISTINCT FROM n.source LEFT JOIN edge e ON d.source IS NOT DISTINCT FROM e.source"""
+
+
+@query("op13_mixing", _mix_sql())
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", F.col("targets")[0].alias("target"), F.col("taken")[0].alias("taken"))

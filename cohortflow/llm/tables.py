@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortflow.sources.scratch import materialize
 
-#: Rows of a few dozen bytes that may be broadcast; larger frames are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Rows, and characters of their values, that may be broadcast; larger frames are joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_CHARACTERS = 1_000_000, 64 << 20
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -27,9 +27,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Few enough rows to broadcast, and few enough characters if their values were written out."""
+    size = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("long")).alias("size")).first()
+    return row["n"] <= rows and (row["size"] or 0) <= BROADCAST_CHARACTERS
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored frame with a broadcast hint if it has few enough rows, else for a shuffle join."""
-    return F.broadcast(df) if df.count() <= rows else df
+    """A stored frame with a broadcast hint if it is small enough, else for a shuffle join."""
+    return F.broadcast(df) if is_small(df, rows) else df
 
 
 def labelled(crc_of: str, divisor: int, remainder: int) -> Column:

@@ -52,6 +52,10 @@ def write_tables(spark, folder, empty=False):
     ]
     turns += [(i, k, ("user", "assistant")[k % 2], prose(i + k, 6)) for i in range(10, 40) for k in range(6)]
     write(spark, folder, turns, "conv_id long, turn long, role string, text string", "conversations", empty)
+    near = [(i, [float((i % 4) * 3 + (i * k) % 5) / 7 for k in range(64)]) for i in range(40)]
+    near += [(i, [-0.01] * 64) for i in range(40, 60)] + [(None, [0.5] * 64), (3, [0.5] * 64), (3, [0.5] * 64), (70, [None] * 64), (71, None), (72, [])]
+    near += [(73, [1.0] * 63), (74, [float("nan")] + [0.0] * 63), (75, [float("inf")] * 64), (76, [1e6] * 64)]
+    write(spark, folder, near, "vec_id long, embedding array<float>", "embeddings", empty)
     return str(folder)
 
 

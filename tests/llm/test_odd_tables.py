@@ -7,7 +7,7 @@ import corpus_pipeline
 from cohortflow.llm.queries import ORACLE, QUERIES
 from tests import oracle
 
-TABLES = "documents labels benchmark pages conversations".split()
+TABLES = "documents labels benchmark pages conversations embeddings".split()
 
 
 def connect(folder):
