@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.expressions import as_column, positive_probability
+from cohortflow.operators.boosting import LeafwiseBoosting, search
 from cohortflow.operators.evaluate import evaluate_models
 from cohortflow.sources.scratch import ensure_checkpoint_dir, materialize
 
 FEATURES, LABEL = "features", "label"
 SEED = 42
 MAX_DEPTH = 30  # the deepest tree that Spark allows
+EVERY_LEAF = 1 << 20
 
 
 def assemble(df: DataFrame, features: Sequence[str], label: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -56,12 +58,14 @@ def gradient_boosting(trees: int = 100, rate: float = 0.1, depth: int = 3, seed:
     return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxIter=trees, stepSize=rate, maxDepth=depth, seed=seed)
 
 
-def hist_boosting(trees: int = 100, rate: float = 0.1, depth: int = 5, min_rows: int = 20, seed: int = SEED) -> GBTClassifier:
-    """Boosting with deeper trees on row samples, in place of leaf-wise histogram trees."""
-    return GBTClassifier(
-        featuresCol=FEATURES, labelCol=LABEL, maxIter=trees, stepSize=rate, maxDepth=depth,
-        minInstancesPerNode=min_rows, subsamplingRate=0.8, maxBins=255, seed=seed,
-    )
+def hist_boosting(trees: int = 100, rate: float = 0.1, leaves: int = 31, depth: int = 0, min_rows: int = 20) -> LeafwiseBoosting:
+    """Leaf-wise grown trees over binned features."""
+    return LeafwiseBoosting(maxIter=trees, stepSize=rate, numLeaves=leaves, maxDepth=depth, minInstancesPerNode=min_rows)
+
+
+def level_boosting(trees: int = 100, rate: float = 0.1, depth: int = 3) -> LeafwiseBoosting:
+    """Trees grown to a depth, whatever their number of leaves: what a search over depths tries."""
+    return LeafwiseBoosting(maxIter=trees, stepSize=rate, numLeaves=EVERY_LEAF, maxDepth=depth, minInstancesPerNode=1)
 
 
 def random_forest(trees: int = 100, depth: int = MAX_DEPTH, min_rows: int = 1, seed: int = SEED) -> RandomForestClassifier:
@@ -198,11 +202,11 @@ def compare_models(
 # ---- grid search ----------------------------------------------------------
 
 # The searched parameters. Forest splits have no minimum-split-size
-# parameter here and boosting no leaf count, so those two axes of the grid fall away.
+# parameter here, so that axis of the grid falls away.
 FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2]}
 BOOSTING_GRID = {"maxIter": [100, 200], "stepSize": [0.05, 0.1], "maxDepth": [3, 5, 10]}
 HIST_GRID = {
-    "maxIter": [100, 200], "stepSize": [0.01, 0.05, 0.1], "maxDepth": [5, 10, 15], "minInstancesPerNode": [20, 30],
+    "maxIter": [100, 200], "stepSize": [0.01, 0.05, 0.1], "maxDepth": [5, 10, 15], "numLeaves": [31, 50, 70], "minInstancesPerNode": [20, 30],
 }
 
 
@@ -225,12 +229,21 @@ def grid_search(
     """Best model by mean fold accuracy, refitted on all rows, and (params, accuracy, best).
 
     `df` has features, label and a fold number. `balance` oversamples the training
-    part of each fold only, so no synthetic neighbour of a held-out row is learnt from."""
+    part of each fold only, so no synthetic neighbour of a held-out row is learnt from.
+
+    Leaf-wise boosting is searched in shared passes, each model being scored at every wanted number of trees. Forests
+    of the same trees but for their number are grown in instalments, a larger one being the smaller with more trees."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     candidates = param_grid(estimator, grid)
     accuracy = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="accuracy")
-    if balance is None:
+    if balance is None and isinstance(estimator, LeafwiseBoosting):
+        scores = search(df, estimator, [estimator.copy(c).growth() for c in candidates], folds, fold_col)
+        best = estimator.fit(df, candidates[int(np.argmax(scores))])
+    elif balance is None and isinstance(estimator, RandomForestClassifier):
+        scores = _forest_scores(df, estimator, candidates, folds, fold_col)
+        best = estimator.fit(df, candidates[int(np.argmax(scores))])
+    elif balance is None:
         found = CrossValidator(
             estimator=estimator, estimatorParamMaps=candidates, evaluator=accuracy, numFolds=folds,
             foldCol=fold_col, parallelism=parallelism,
@@ -253,5 +266,38 @@ def grid_search(
     return best, spark.createDataFrame(rows, "params string, accuracy double, best boolean")
 
 
+def _forest_scores(df: DataFrame, estimator: RandomForestClassifier, candidates: Sequence[dict], folds: int, fold_col: str) -> list[float]:
+    """Mean accuracy over the folds per candidate. Trees are independent, so the forest of 200 is that of 100 and 100 more."""
+    trees = estimator.numTrees
+    seed = estimator.getSeed()
+    groups: dict[tuple, list[int]] = {}
+    for i, c in enumerate(candidates):
+        groups.setdefault(tuple(sorted((p.name, v) for p, v in c.items() if p != trees)), []).append(i)
+    totals = np.zeros(len(candidates))
+    for fold in range(folds):
+        train = materialize(df.filter(F.col(fold_col) != fold), "fold_train")
+        held = df.filter(F.col(fold_col) == fold).select(FEATURES, LABEL)
+        for members in groups.values():
+            votes, grown, scored = F.lit(0.0), 0, held
+            for size in sorted({candidates[i].get(trees, estimator.getNumTrees()) for i in members}):
+                other = {p: v for p, v in candidates[members[0]].items() if p != trees}
+                part = estimator.fit(train, {**other, trees: size - grown, estimator.seed: seed + grown})
+                scored = materialize(_with_votes(part, scored, size - grown), "forest_votes")
+                grown = size
+                votes = F.col("__votes") / size
+                right = scored.agg(F.avg(((votes > 0.5) == (F.col(LABEL) > 0.5)).cast("double"))).first()[0]
+                for i in members:
+                    if candidates[i].get(trees, estimator.getNumTrees()) == size:
+                        totals[i] += right
+    return list(totals / folds)
+
+
+def _with_votes(forest: Transformer, df: DataFrame, trees: int) -> DataFrame:
+    """Adds the forest's votes for class 1 to those of the forests before."""
+    before = F.col("__votes") if "__votes" in df.columns else F.lit(0.0)
+    out = forest.transform(df)
+    return out.select(FEATURES, LABEL, (before + vector_to_array("probability")[1] * trees).alias("__votes"))
+
+
 def as_pipeline(model: Transformer) -> PipelineModel:
     return model if isinstance(model, PipelineModel) else PipelineModel([model])

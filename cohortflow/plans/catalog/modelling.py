@@ -5,6 +5,7 @@ hundred forests of 100 to 200 trees: bench.py runs them whole on request. SQL ca
 twins state what must hold of every fit: which rows are held out, that labels follow from scores,
 that metrics are recounted the same, that a gradient is zero at the optimum."""
 
+import math
 import re
 from dataclasses import asdict
 
@@ -13,6 +14,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cohortflow.operators import boosting as B
 from cohortflow.operators import models as M
 from cohortflow.operators.balance import smote_balance
 from cohortflow.operators.neighbors import knn_classify
@@ -45,6 +47,24 @@ def _scored(spark, sf_dir, make):
     return rounded_all(scored.select("hadm_id", F.col("label").cast("int").alias("label"), "prediction", "probability"))
 
 
+def _log_loss(rows):
+    """Mean logarithmic loss of the rows' probabilities, and of their share of positives."""
+    p = F.greatest(F.least(F.col("probability"), F.lit(1 - 1e-15)), F.lit(1e-15))
+    row = rows.agg(F.avg(-F.log(F.when(F.col("label") > 0.5, p).otherwise(1 - p))).alias("loss"), F.avg("label").alias("share")).first()
+    share = row["share"]
+    return row["loss"], -(share * math.log(share) + (1 - share) * math.log(1 - share))
+
+
+def _learnt(spark, sf_dir, make):
+    """The held-out rows, whether each label follows from its score, and whether the model fits its training rows better than their mean."""
+    train, test, scaled = sides(spark, sf_dir)
+    train = materialize(train, "train")
+    model, scored = M.fit_predict(make(train, scaled), train, test)
+    loss, prior = _log_loss(M.predict(model, train))
+    held = rounded_all(scored.select("hadm_id", F.col("label").cast("int").alias("label"), "prediction", "probability"))
+    return _consistent(held).withColumn("learnt", F.lit(bool(loss < 0.995 * prior)))
+
+
 # the split of sides(), stated over feat
 _PARTS_SQL = """
 sizes AS (SELECT hospital_expire_flag AS y, count(*) AS n, 0.3e0 * count(*) AS want FROM feat GROUP BY 1),
@@ -53,6 +73,8 @@ quota AS (SELECT y, floor(round(want, 9)) + CASE WHEN row_number() OVER (ORDER B
 ranked AS (SELECT *, row_number() OVER (PARTITION BY hospital_expire_flag ORDER BY md5('42|' || hadm_id), hadm_id) AS r FROM feat),
 parts AS (SELECT ranked.*, r <= q AS is_test FROM ranked JOIN quota ON quota.y = hospital_expire_flag)"""
 
+_LEARNT_SQL = sql_with("SELECT hadm_id, hospital_expire_flag AS label, true AS consistent, true AS learnt FROM parts WHERE is_test", _PARTS_SQL)
+
 _HELD_OUT_SQL = sql_with("SELECT hadm_id, hospital_expire_flag AS label, true AS consistent FROM parts WHERE is_test", _PARTS_SQL)
 
 
@@ -84,19 +106,68 @@ def fit_logreg(spark, sf_dir):
     return spark.createDataFrame([(i, abs(round(g, 3))) for i, g in enumerate(gradient)], "coefficient long, gradient double")
 
 
-@query("fit_gbt", _HELD_OUT_SQL)
+@query("fit_gbt", _LEARNT_SQL)
 def fit_gbt(spark, sf_dir):
-    return _consistent(_scored(spark, sf_dir, lambda *_: M.gradient_boosting()))
+    return _learnt(spark, sf_dir, lambda *_: M.gradient_boosting())
 
 
-@query("fit_hist_gbt", _HELD_OUT_SQL)
+@query("fit_hist_gbt", _LEARNT_SQL)
 def fit_hist_gbt(spark, sf_dir):
-    return _consistent(_scored(spark, sf_dir, lambda *_: M.hist_boosting()))
+    return _learnt(spark, sf_dir, lambda *_: M.hist_boosting())
 
 
-@query("fit_rf", _HELD_OUT_SQL)
+@query("fit_rf", _LEARNT_SQL)
 def fit_rf(spark, sf_dir):
-    return _consistent(_scored(spark, sf_dir, lambda *_: M.random_forest()))
+    return _learnt(spark, sf_dir, lambda *_: M.random_forest())
+
+
+TREE_FEATURES = {"age": "age", "diagnoses": "diagnosis_count", "charge_band": "floor(charges / 20000)"}
+TREE_LEAVES, TREE_ROWS = 6, 40
+
+
+def _leafwise_sql():
+    """Leaf-wise growth of one tree, a split at a time: of all leaves, features and cuts the one that gains most."""
+    unit, names = "16777216e0", list(TREE_FEATURES)
+    score = f"({{0}} / {unit}) * ({{0}} / {unit}) / ({{1}} / {unit})"
+    steps = [
+        f"""points0 AS MATERIALIZED (SELECT {", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in TREE_FEATURES.items())}, '' AS path,
+  CAST(round((p - hospital_expire_flag) * {unit}) AS BIGINT) AS g, CAST(round(p * (1 - p) * {unit}) AS BIGINT) AS h
+  FROM feat, (SELECT 1 / (1 + exp(-ln(sum(hospital_expire_flag) / (count(*) - sum(hospital_expire_flag))))) AS p FROM feat))"""
+    ]
+    for k in range(TREE_LEAVES - 1):
+        gain = f"{score.format('gl', 'hl')} + {score.format('(ga - gl)', '(ha - hl)')} - {score.format('ga', 'ha')}"
+        steps.append(f"""
+cells{k} AS MATERIALIZED (SELECT path, f, v, count(*) AS n, sum(g) AS g, sum(h) AS h
+  FROM (SELECT path, g, h, unnest(range({len(names)})) AS f, unnest([{", ".join(names)}]) AS v FROM points{k}) GROUP BY path, f, v),
+run{k} AS (SELECT path, f, v, sum(n) OVER w AS nl, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER a AS na, sum(g) OVER a AS ga, sum(h) OVER a AS ha
+  FROM cells{k} WINDOW w AS (PARTITION BY path, f ORDER BY v ROWS UNBOUNDED PRECEDING), a AS (PARTITION BY path, f)),
+best{k} AS MATERIALIZED (SELECT path, f, v, nl, na - nl AS nr, {gain} AS gain FROM run{k} WHERE nl >= {TREE_ROWS} AND na - nl >= {TREE_ROWS}
+  ORDER BY gain DESC, f, v LIMIT 1),
+points{k + 1} AS MATERIALIZED (SELECT {", ".join(names)}, g, h, p.path || CASE WHEN p.path <> b.path THEN ''
+  WHEN [{", ".join(names)}][b.f + 1] > b.v THEN 'R' ELSE 'L' END AS path FROM points{k} p, best{k} b)""")
+    one = "SELECT path, CAST(f AS INTEGER) AS feature, v AS cut, round(gain, 6) AS gain, CAST(nl AS BIGINT) AS left_rows, CAST(nr AS BIGINT) AS right_rows FROM best{}"
+    return sql_with(" UNION ALL ".join(one.format(k) for k in range(TREE_LEAVES - 1)), ",".join(steps))
+
+
+@query("leafwise_tree", _leafwise_sql())
+def leafwise_tree(spark, sf_dir):
+    """The splits of the first tree of a boosted model: path of the split leaf, greatest value on the left, gain, rows on both sides."""
+    columns = [F.expr(e).cast("double").alias(n) for n, e in TREE_FEATURES.items()]
+    rows = materialize(S.admission_features(spark, sf_dir).select(TARGET, *columns), "admissions")
+    train = M.assemble(rows, list(TREE_FEATURES), TARGET)
+    borders = B.fit_borders(train, M.FEATURES, len(TREE_FEATURES))
+    model = B.grow(train, [B.Growth(trees=1, leaves=TREE_LEAVES, min_rows=TREE_ROWS)], borders)[0]
+    tree, gains = model.trees[0], model.gains[0]
+    found, stack = [], [(0, "", F.lit(True))]
+    while stack:
+        node, path, here = stack.pop()
+        if tree.child[node]:
+            feature = int(tree.feature[node])
+            x, border = F.col(list(TREE_FEATURES)[feature]), float(borders[feature][tree.cut[node] - 1])
+            found.append((path, feature, gains[node], F.max(F.when(here & (x < border), x)), F.count_if(here & (x < border)), F.count_if(here & (x >= border))))
+            stack += [(tree.child[node], path + "L", here & (x < border)), (tree.child[node] + 1, path + "R", here & (x >= border))]
+    shown = [F.struct(F.lit(p).alias("path"), F.lit(f).alias("feature"), c.alias("cut"), F.lit(round(float(g), 6)).alias("gain"), l.alias("left_rows"), r.alias("right_rows")) for p, f, g, c, l, r in found]
+    return rows.agg(F.array(*shown).alias("splits")).select(F.inline("splits"))
 
 
 @query("fit_svm_rff", _HELD_OUT_SQL)
@@ -221,11 +292,11 @@ def _folded(train, folds=5):
     return cv_folds(train.select("hadm_id", "label"), "label", folds, key=["hadm_id"]).drop("label").join(train, "hadm_id")
 
 
-@query("grid_search", "SELECT 4 AS candidates, 1 AS best_rows, true AS best_is_maximum, true AS are_shares")
+@query("grid_search", "SELECT 12 AS candidates, 1 AS best_rows, true AS best_is_maximum, true AS are_shares")
 def grid_search(spark, sf_dir):
+    """The whole grid of the boosting search: six models of 200 trees per fold, each scored after 100 and 200, grown in shared passes."""
     train, _, _ = sides(spark, sf_dir)
-    grid = {"maxIter": [5, 10], "maxDepth": M.BOOSTING_GRID["maxDepth"][:2]}
-    _, table = M.grid_search(materialize(_folded(train), "folds"), M.gradient_boosting(), grid, folds=5)
+    _, table = M.grid_search(materialize(_folded(train), "folds"), M.level_boosting(), M.BOOSTING_GRID, folds=5)
     top = F.max("accuracy")
     return table.agg(
         F.count(F.lit(1)).cast("int").alias("candidates"), F.count_if("best").cast("int").alias("best_rows"),
