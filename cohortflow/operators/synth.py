@@ -6,6 +6,7 @@ back. Numbers use a 101-point quantile table, categories their cumulative shares
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from statistics import NormalDist
@@ -121,17 +122,18 @@ def _category_tables(df: DataFrame, categories: Sequence[str]) -> tuple[dict[str
     wide = {c: _interval_table(counts.filter(F.col("name") == c).select("level", "n")) for c in many}
     found: dict[str, list] = {c: [] for c in categories if c not in wide}
     for r in counts.filter(~F.col("name").isin(many)).collect() if many else counts.collect():
-        found[r["name"]].append((-r["n"], r["level"]))
+        # equal frequencies go by the same hash as in hash_rank, so that a value's place does not depend on how many there are
+        found[r["name"]].append((-r["n"], hashlib.md5(f"42|{r['level']}".encode()).hexdigest(), r["level"]))
     normal, out = NormalDist(), {}
     for c, pairs in found.items():
         if not pairs:
             continue
         pairs.sort()
-        shares = np.array([-n for n, _ in pairs], dtype=float)
+        shares = np.array([-n for n, _, _ in pairs], dtype=float)
         upper = np.cumsum(shares / shares.sum())
         middle = upper - shares / shares.sum() / 2
         borders = [normal.inv_cdf(min(max(u, 1e-9), 1 - 1e-9)) for u in upper[:-1]]
-        out[c] = [[v for _, v in pairs], borders, [normal.inv_cdf(float(m)) for m in middle]]
+        out[c] = [[v for _, _, v in pairs], borders, [normal.inv_cdf(float(m)) for m in middle]]
     return out, wide
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortflow.operators import models as M
 from cohortflow.operators.cohort import build_cohort
 from cohortflow.operators.preprocess import PreprocessSpec, fit_levels, strongest_levels
+from cohortflow.operators.scorers import forest_importance, select_union, with_dummies
 from cohortflow.plans import cli, workflow
 from cohortflow.plans.workflow import Scorer
 from cohortflow.sources.scratch import ScratchScope, materialize, shared_folder
@@ -153,3 +154,32 @@ def test_describe_covers_every_kind(spark):
     assert set(rows) == set(df.columns)
     assert rows["d"]["top"] == "2020-01-02" and rows["d"]["freq"] == 4 and rows["a"]["unique"] == 2 and rows["n"]["count"] == 0
     assert set(profile(df, "b")) == {"shape", "summary", "nulls", "correlations", "boxes", "histograms", "classes"}
+
+
+@pytest.mark.parametrize("levels", [1990, 2010])
+def test_a_level_that_only_the_forest_ranks_high_is_chosen_at_any_width(spark, levels):
+    """Of frequent level "zz" the label follows x, elsewhere it is drawn: alone it tells nothing, after x it does."""
+    rng = np.random.default_rng(3)
+    n = 3 * levels
+    name = [f"v{i % levels}" if i < levels else "zz" for i in range(n)]
+    x = rng.normal(size=n)
+    y = [int(x[i] > 0) if name[i] == "zz" else i % 2 for i in range(n)]
+    df = spark.createDataFrame([(name[i], float(x[i]), y[i]) for i in range(n)], "name string, x double, y int")
+    wide = []
+    fit_levels(df, wide=wide)
+    assert wide == (["name"] if levels > 2000 else [])
+    assert "zz" not in strongest_levels(df, ["name"], "y", 2).get("name", [])
+    chosen, scores = select_union(df, ["x"], "y", 2, trees=60, wide=["name"])
+    assert {"x", "name_zz"} <= set(chosen)
+    assert {r.feature for r in scores.where("scorer = 'RF' AND rank <= 2").collect()} == {"x", "name_zz"}
+
+
+def test_sparse_levels_score_as_columns_of_their_own(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"l{rng.integers(30):02d}", float(rng.normal()), int(rng.integers(2))) for _ in range(600)]
+    df = spark.createDataFrame(rows, "c string, x double, y int").coalesce(1)
+    levels = sorted({r[0] for r in rows}, reverse=True)[:-1]
+    dense = with_dummies(df, {f"c_{v}": ("c", v) for v in levels})
+    got = {r.feature: r.score for r in forest_importance(df, ["x"], "y", 5, 6, wide=["c"]).collect()}
+    want = {r.feature: r.score for r in forest_importance(dense, ["x", *[f"c_{v}" for v in levels]], "y", 5, 6).collect()}
+    assert got == pytest.approx({f: s for f, s in want.items() if f == "x" or s > 0})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.operators import ranking
 from cohortflow.operators.balance import smote_balance, smote_rows
+from cohortflow.operators import neighbors as N
 from cohortflow.operators.neighbors import knn_classify, knn_join, neighbor_rows
 from cohortflow.operators.ranking import hash_rank, largest_remainder, running_totals
 from cohortflow.operators.split import cv_folds, group_split, stratified_split
@@ -153,23 +154,23 @@ def points(spark, vectors):
     return spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in vectors.items()], "id long, vector array<double>")
 
 
-@pytest.mark.parametrize("pivots", [1, 7, 40])
-def test_knn_self_join_equals_brute_force(spark, pivots):
+@pytest.mark.parametrize(("pivots", "levels"), [(1, 1), (7, 1), (40, 1), (40, 2), (90, 2)])
+def test_knn_self_join_equals_brute_force(spark, pivots, levels):
     rng = np.random.default_rng(11)
     centers = rng.normal(size=(6, 3)) * 10
     vectors = {i: centers[i % 6] + rng.normal(size=3) for i in range(400)}
     vectors |= {1000 + i: np.array([1.0, 2.0, 3.0]) for i in range(200)}  # a third are copies
     vectors |= {2000 + i: np.round(rng.normal(size=3)) for i in range(60)}  # many ties
-    found = {r["id"]: [n["id"] for n in r["neighbors"]] for r in knn_join(points(spark, vectors), None, 5, pivots=pivots).collect()}
+    found = {r["id"]: [n["id"] for n in r["neighbors"]] for r in knn_join(points(spark, vectors), None, 5, pivots=pivots, levels=levels).collect()}
     assert found == brute(vectors, vectors, 5, True)
 
 
-@pytest.mark.parametrize("pivots", [1, 9])
-def test_knn_between_two_sets(spark, pivots):
+@pytest.mark.parametrize(("pivots", "levels"), [(1, 1), (9, 1), (16, 2)])
+def test_knn_between_two_sets(spark, pivots, levels):
     rng = np.random.default_rng(12)
     p, q = ({i: rng.normal(size=4) for i in range(n)} for n in (300, 80))
     q |= {500 + i: np.zeros(4) for i in range(50)}
-    found = {r["id"]: [n["id"] for n in r["neighbors"]] for r in knn_join(points(spark, q), points(spark, p), 3, pivots=pivots, share=0.05, min_rows=5).collect()}
+    found = {r["id"]: [n["id"] for n in r["neighbors"]] for r in knn_join(points(spark, q), points(spark, p), 3, pivots=pivots, levels=levels, share=0.05, min_rows=5).collect()}
     assert found == brute(q, p, 3, False)
 
 
@@ -180,6 +181,20 @@ def test_knn_stays_inside_class_and_small_classes_have_fewer(spark):
     assert sum(r["id"] == 0 for r in rows) == 2 and sum(r["id"] == 5 for r in rows) == 5
 
 
+def test_two_levels_keep_classes_apart_and_cells_small(spark):
+    rng = np.random.default_rng(13)
+    vectors = {i: rng.normal(size=2) for i in range(900)}
+    df = points(spark, vectors).withColumn("c", F.when(F.col("id") < 4, "rare").when(F.col("id") % 3 == 0, "a").otherwise("b"))
+    one, two = ({(r["id"], r["rank"]): r["neighbor_id"] for r in neighbor_rows(knn_join(df, None, 5, by="c", pivots=60, levels=n), ["id", "c"]).collect()} for n in (1, 2))
+    assert one == two
+    prepared = N._prepared(df, "id", "vector", None, None)
+    upper, levels = N._pivots(prepared, 60, 2)
+    assert levels == 2 and len(upper) == 7
+    cells = N._home_cells(prepared, upper)
+    placed = N._lower_cells(cells, N._lower_pivots(cells, upper, 15))
+    assert placed.count() == 900 and placed.groupBy("cell").count().agg(F.max("count")).first()[0] < 100
+
+
 def test_knn_votes(spark):
     train = points(spark, {i: np.array([float(i)]) for i in range(10)}).withColumn("y", (F.col("id") >= 5).cast("int"))
     got = {r["id"]: (r["probability"], r["prediction"]) for r in knn_classify(train, points(spark, {1: np.array([0.0]), 2: np.array([9.0]), 3: np.array([4.6])}), "y").collect()}
