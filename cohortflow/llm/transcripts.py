@@ -12,7 +12,8 @@ its max-plus matrix (best score from any state before it to any state at its end
 matrices of a conversation are composed in order, which gives the exact Viterbi states at
 the borders, and each piece is then decoded between them. Turns are rendered line by line,
 as `<|role|>` before a turn's first line and `<|end|>` after its last, so the rendered
-conversation is the lines in order.
+conversation is the lines in order. A marker is taken off only where a turn begins; what is
+taken off is kept as `prefix`, so prefix and content are the line, whatever it says.
 
 Defined results: a null text is an empty line, null turns come first, a null conversation id is one
 conversation. Rows of the same turn are ordered by their text; equal rows follow each other. Without
@@ -50,7 +51,10 @@ PIECES = 64  # least number of sorted partitions
 LINES_PER_PIECE = 200_000
 
 _NAMES = "|".join(n for names in MARKERS.values() for n in names)
-MARKER = rf"(?i)^\s*(?:#{{1,4}}\s*|<|\[|\*\*)?({_NAMES})(?:>|\]|\*\*)?\s*(?::|>|\]|\*\*|-)\s*"
+# a name and a colon, a name in brackets or stars, or a heading of nothing but a name: "A - b", "user-friendly", "a > b" and "<b>" are text
+_STYLES = [r"(?:#{1,4}\s*)?(NAMES)\s*:", r"<(?![abq]>)(NAMES)>\s*:?", r"\[(NAMES)\]\s*:?", r"\*\*(NAMES)(?:\s*:\s*\*\*|\*\*\s*:?)", r"#{1,4}\s*(NAMES)\s*$"]
+MARKER = r"(?i)^\s*(?:" + "|".join(s.replace("NAMES", _NAMES) for s in _STYLES) + r")\s*"
+DASHED = r"^\s*-\s+"
 
 
 class Model(NamedTuple):
@@ -60,15 +64,21 @@ class Model(NamedTuple):
 
 
 def marker_class(line: Column) -> Column:
-    name = F.lower(F.regexp_extract(line, MARKER, 1))
-    out = F.when(F.regexp_like(line, F.lit(r"^\s*-\s")), DASH).otherwise(NONE)
+    name = F.lower(F.concat(*[F.regexp_extract(line, MARKER, i + 1) for i in range(len(_STYLES))]))
+    out = F.when(F.regexp_like(line, F.lit(DASHED)), DASH).otherwise(NONE)
     for i, names in enumerate(MARKERS.values()):
         out = F.when(name.isin(names), i).otherwise(out)
     return out
 
 
+def prefix(line: Column) -> Column:
+    """The marker at the start of a line, or the dash."""
+    return F.when(F.regexp_like(line, F.lit(MARKER)), F.regexp_extract(line, MARKER, 0)).otherwise(F.regexp_extract(line, DASHED, 0))
+
+
 def content(line: Column) -> Column:
-    return F.when(F.regexp_like(line, F.lit(MARKER)), F.regexp_replace(line, MARKER, "")).otherwise(F.regexp_replace(line, r"^\s*-\s", ""))
+    """The line without its prefix."""
+    return F.substring(line, F.length(prefix(line)) + 1, F.length(line))
 
 
 def symbol(marker: Column, line: Column) -> Column:
@@ -104,29 +114,39 @@ def as_transcript(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
 
 
 def _sorted(lines: DataFrame) -> DataFrame:
-    """Lines with a piece number; within a piece sorted, pieces in order. Stored, as two passes read it."""
+    """Lines with a piece number and their place `at` in it; pieces in order. Stored, as several passes read it."""
     parts = max(PIECES, lines.count() // LINES_PER_PIECE)
     marker = marker_class(F.col("line"))
     # equal rows differ only by chance, so that a turn repeated without end is dealt out too
-    order = ["conv_id", "turn", "line_no", "line"]
     seen = lines.withColumn("marker", marker).withColumn("symbol", symbol(F.col("marker"), F.col("line"))).withColumn("tie", F.monotonically_increasing_id())
-    dealt = seen.repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in order], F.col("tie"))
-    return stored(dealt.withColumn("piece", F.spark_partition_id()), "lines")
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "line_no", "line", "tie")]
+    dealt = seen.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("tie")
+    # text for grouping: a null id is a conversation too
+    conv = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null"))
+    return stored(dealt.select("*", F.spark_partition_id().alias("piece"), F.monotonically_increasing_id().alias("at"), conv.alias("conv")), "lines")
 
 
 def train(lines: DataFrame) -> Model:
-    """Counts of all given lines: starts, moves between neighbouring lines, symbols by role."""
+    """Counts of all given lines: starts, moves between neighbouring lines, symbols by role. A line of unknown role counts for
+    nothing, and neither do the moves to and from it. The counts do not depend on how the lines are cut into pieces."""
     number = F.when(F.col("role") == ROLES[0], 0).when(F.col("role") == ROLES[1], 1).when(F.col("role") == ROLES[2], 2)
-    known = _sorted(lines).withColumn("state", number).where(F.col("state").isNotNull())
-    window = Window.partitionBy("piece", "conv_id").orderBy(F.col("turn").asc_nulls_first(), "line_no", "line", "tie")
-    moves = known.withColumn("before", F.lag("state").over(window))
+    seen = _sorted(lines).select("piece", "conv", "at", "symbol", number.alias("state"))
+    inside = Window.partitionBy("piece", "conv").orderBy("at")
+    placed = seen.withColumns({"place": F.row_number().over(inside), "before": F.lag("state").over(inside), "is_last": F.lead("at").over(inside).isNull()})
+    placed = stored(placed, "moves")
+    # the first line of a piece follows the last one of the conversation's piece before: a row per piece and conversation
+    ends = placed.where("is_last").select("piece", "conv", F.col("state").alias("end"))
+    along = Window.partitionBy("conv").orderBy("piece")
+    edges = placed.where("place = 1").select("piece", "conv", "state").join(ends, ["piece", "conv"])
+    edges = edges.select("state", F.lag("end").over(along).alias("before"), (F.row_number().over(along) == 1).alias("is_start"))
+    moves = placed.where("place > 1").select("state", "before", F.lit(False).alias("is_start")).unionByName(edges)
     emit, move, start = np.full((N_SYMBOLS, K), SMOOTHING), np.full((K, K), SMOOTHING), np.full(K, SMOOTHING)
-    for s, k, n in known.groupBy("symbol", "state").count().collect():
+    for s, k, n in placed.where("state IS NOT NULL").groupBy("symbol", "state").count().collect():
         emit[s, k] += n
-    for a, b, n in moves.groupBy("before", "state").count().collect():
-        if a is None:
+    for a, b, starts, n in moves.where("state IS NOT NULL").groupBy("before", "state", "is_start").count().collect():
+        if starts:
             start[b] += n
-        else:
+        elif a is not None:
             move[a, b] += n
     return Model(np.log(start / start.sum()), np.log(move / move.sum(axis=1, keepdims=True)), np.log(emit / emit.sum(axis=0)))
 
@@ -170,45 +190,42 @@ def _borders(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def recover(lines: DataFrame, model: Model) -> DataFrame:
-    """conv_id, turn, line_no, role, begins (a turn starts here), content and rendered, for every line."""
+    """conv_id, turn, line_no, role, begins (a turn starts here), prefix, content and rendered, for every line."""
     conv_type = lines.schema["conv_id"].dataType.simpleString()
-    placed = _sorted(lines.select("conv_id", "turn", "line_no", "line")).withColumn("content", content(F.col("line")))
-    # text for grouping: a null id is a conversation too
-    placed = placed.withColumn("conv", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null")))
-    order = ["piece", "conv", "turn", "line_no", "line", "tie"]
+    placed = _sorted(lines.select("conv_id", "turn", "line_no", "line"))
 
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _groups(batches, ["piece", "conv"]):
             m = chain_matrix(part["symbol"].to_numpy(), model)
             yield pd.DataFrame({"piece": [part["piece"].iloc[0]], "conv": [part["conv"].iloc[0]], "matrix": [m.ravel().tolist()]})
 
-    keyed = placed.repartition("piece").sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
+    keyed = placed.select("piece", "at", "conv", "symbol").repartition("piece").sortWithinPartitions("piece", "at")
     pieces = stored(keyed.select("piece", "conv", "symbol").mapInPandas(matrices, "piece int, conv string, matrix array<double>"), "matrices")
     # a conversation has at most one row per piece here
     several = pieces.groupBy("conv").count().where("count > 1").select("conv")
     borders = pieces.join(several, "conv").groupBy("conv").applyInPandas(_borders, "conv string, piece int, before int, last int")
     side = stored(borders, "borders")
     known = placed.join(F.broadcast(side) if side.count() <= 1_000_000 else side, ["conv", "piece"], "left")
-    known = known.repartition("piece").sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
-    out = f"conv_id {conv_type}, conv string, piece int, turn long, line_no long, role string, begins boolean, marked boolean, content string, first boolean, last boolean, open boolean"
+    known = known.repartition("piece").sortWithinPartitions("piece", "at")
+    out = f"conv_id {conv_type}, conv string, piece int, turn long, line_no long, role string, begins boolean, line string, first boolean, last boolean, open boolean"
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _groups(batches, ["piece", "conv"]):
             before = -1 if pd.isna(part["before"].iloc[0]) else int(part["before"].iloc[0])
             last = -1 if pd.isna(part["last"].iloc[0]) else int(part["last"].iloc[0])
             path = np.array(chain_path(part["symbol"].to_numpy(), model, before, last))
-            marked = (part["marker"] != NONE).to_numpy()
+            marked = (part["marker"] < NONE).to_numpy()  # a dash may be a list's
             begins = marked | (path != np.concatenate(([before], path[:-1])))
             n = len(part)
             ends = np.zeros(n, bool)
             ends[-1] = True
             yield pd.DataFrame({
                 "conv_id": part["conv_id"].array, "conv": part["conv"].array, "piece": part["piece"].array, "turn": part["turn"].astype("Int64").array,
-                "line_no": part["line_no"].array, "role": [ROLES[p] for p in path], "begins": begins, "marked": marked, "content": part["content"].array,
+                "line_no": part["line_no"].array, "role": [ROLES[p] for p in path], "begins": begins, "line": part["line"].array,
                 "first": np.arange(n) == 0, "last": ends, "open": np.append(~begins[1:], False),
             })
 
-    columns = ["conv_id", "conv", "piece", "turn", "line_no", "symbol", "marker", "content", "before", "last"]
+    columns = ["conv_id", "conv", "piece", "turn", "line_no", "symbol", "marker", "line", "before", "last"]
     found = known.select(*columns).mapInPandas(decode, out)
     # whether the turn of a piece's last line goes on is told by the first line of the next piece of the conversation
     if side.isEmpty():
@@ -220,9 +237,11 @@ def recover(lines: DataFrame, model: Model) -> DataFrame:
         firsts = firsts.join(several, "conv").select("conv", "piece", (~F.lead("begins").over(after)).alias("goes_on"))
         found = found.join(firsts, ["conv", "piece"], "left")
         going = F.when(F.col("last"), F.coalesce("goes_on", F.lit(False))).otherwise(F.col("open"))
+    off = F.when(F.col("begins"), prefix(F.col("line"))).otherwise("")
+    found = found.withColumns({"prefix": off, "content": F.substring("line", F.length(off) + 1, F.length("line"))})
     head = F.when(F.col("begins"), F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"))).otherwise("")
     rendered = F.concat(head, F.col("content"), F.lit("\n"), F.when(going, "").otherwise("<|end|>\n"))
-    return found.select("conv_id", "turn", "line_no", "role", "begins", "content", rendered.alias("rendered"))
+    return found.select("conv_id", "turn", "line_no", "role", "begins", "prefix", "content", rendered.alias("rendered"))
 
 
 def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

@@ -75,3 +75,54 @@ def test_recovered_roles(spark):
     assert len(rows) > 100 and right >= 0.8 * len(rows)  # a quarter of the turns has no marker
     marked = [r for r in rows if r["line_no"] == 0 and r["begins"]]
     assert all(r["rendered"].startswith(f"<|{r['role']}|>\n") for r in marked)
+
+
+HYPHENS = [
+    "user-friendly design is key", "A - first option", "A-priori", "AI-based", "Q-learning", "system-wide", "model-based", "context-free", "a > b", "B] c",
+    "- one", "-- two", "me", "A", "user", "Answer", "** bold **", "#hash", "<b>x</b>", "model : fit", "  indented", "", "é: x", "User name: x",
+]
+
+
+def test_words_with_hyphens_are_no_markers(spark):
+    df = spark.createDataFrame([(x,) for x in HYPHENS], "line string")
+    got = {r[0]: r[1] for r in df.select("line", T.marker_class(F.col("line"))).collect()}
+    assert {x for x in HYPHENS if got[x] < T.NONE} == {"model : fit"}
+    more = ["**User**: x", "**User:** x", "### Assistant", "[Bot] y", "<human>: z", "Question : q"]
+    assert [T.marker_class(F.col("line")) is not None and r[0] for r in spark.createDataFrame([(x,) for x in more], "line string").select(T.marker_class(F.col("line"))).collect()] == [0, 0, 1, 1, 0, 0]
+
+
+def test_prefix_and_content_are_the_line(spark):
+    """Nothing of any text is lost, and only lines that begin a turn lose a prefix to `prefix`."""
+    texts = [*HYPHENS, "User: hi", "### AI: yes", "[system] x", "  **A:** y", "- dash", "Q:", "<user>", None]
+    rows = [(c, t, k, texts[(c * 7 + t * 3 + k) % len(texts)]) for c in range(6) for t in range(8) for k in range(4)]
+    lines = spark.createDataFrame(rows, "conv_id long, turn long, line_no long, line string")
+    lines = lines.withColumn("line", F.coalesce("line", F.lit("")))
+    got = T.recover(lines, random_model(5)).collect()
+    want = {(r.conv_id, r.turn, r.line_no): r.line for r in lines.collect()}
+    assert {(r.conv_id, r.turn, r.line_no): r.prefix + r.content for r in got} == want
+    assert all(r.begins or not r.prefix for r in got)
+    assert all(r.content in r.rendered for r in got)
+
+
+@pytest.mark.parametrize("unknown", [None, "tool"])
+def test_training_does_not_depend_on_pieces(spark, monkeypatch, unknown):
+    roles = ["system", "user", "assistant", "user", unknown, "assistant"]
+    rows = [(c, t, 0, f"line {t} of {c}", roles[(c + t) % 6]) for c in range(9) for t in range(c + 3)]
+    lines = spark.createDataFrame(rows, "conv_id long, turn long, line_no long, line string, role string")
+    models = []
+    for pieces in (1, 7, 64):
+        monkeypatch.setattr(T, "PIECES", pieces)
+        models.append(T.train(lines))
+    for m in models[1:]:
+        assert all(np.array_equal(a, b) for a, b in zip(models[0], m, strict=True))
+    starts = np.full(3, T.SMOOTHING)
+    moves = np.full((3, 3), T.SMOOTHING)
+    for c in range(9):
+        own = [roles[(c + t) % 6] for t in range(c + 3)]
+        known = [T.ROLES.index(r) if r in T.ROLES else None for r in own]
+        if known[0] is not None:
+            starts[known[0]] += 1
+        for a, b in zip(known, known[1:], strict=False):
+            if a is not None and b is not None:
+                moves[a, b] += 1
+    assert models[0].start == pytest.approx(np.log(starts / starts.sum())) and models[0].move == pytest.approx(np.log(moves / moves.sum(1, keepdims=True)))
