@@ -191,8 +191,12 @@ def span_text(spans: Column) -> Column:
 
 DASHES = "-----"
 END_LINE = r"^-----END [A-Z ]*PRIVATE KEY-----"
-# without an END line: the lines of base64 that follow, also with line breaks written as \n
-BASE64_LINES = r"^(?:(?:\s|\\[rn])*+[A-Za-z0-9+/=]{32,}+){1,1000}+(?:(?:\s|\\[rn])++[A-Za-z0-9+/]{1,31}+={1,2})?"
+# without an END line: header lines, then the lines of base64 that follow, also with line breaks written as \n
+BREAK = r"(?:\s|\\[rn])"
+HEADERS = rf"^(?:{BREAK}*+[A-Za-z0-9-]{{1,40}}: [^\n\\]*+){{0,16}}"  # two are defined
+BASE64_LINE = r"(?:[A-Za-z0-9+/=]{32,}+|[A-Za-z0-9+/]{1,31}+={1,2}(?![A-Za-z0-9+/=]))"
+# the end of the lines: a break that no such line follows, or what is neither. Searched for, so that any number of lines is passed
+BODY_END = rf"{BREAK}++(?!{BASE64_LINE})|(?!{BREAK})[^A-Za-z0-9+/=]"
 
 
 def with_bodies(text: Column, spans: Column, rules: Sequence[SecretRule]) -> Column:
@@ -205,12 +209,21 @@ def with_bodies(text: Column, spans: Column, rules: Sequence[SecretRule]) -> Col
         rest = F.substring(text, s["end"] + 1, F.length(text))
         body = F.instr(rest, F.lit(DASHES)) - 1
         line = F.length(F.regexp_extract(F.substring(rest, body + 1, F.length(rest)), END_LINE, 0))
-        more = F.when((body >= 0) & (line > 0), body + line).otherwise(F.length(F.regexp_extract(rest, BASE64_LINES, 0)))
+        more = F.when((body >= 0) & (line > 0), body + line).otherwise(_open_body(rest))
         return F.when(s["kind"].isin(kinds), s.withField("end", (s["end"] + more).cast("int"))).otherwise(s)
 
     return F.transform(spans, longer)
 
 
+def _open_body(rest: Column) -> Column:
+    """Characters of a key without an END line: nothing if no line of base64 follows."""
+    headers = F.length(F.regexp_extract(rest, HEADERS, 0))
+    lines = F.substring(rest, headers + 1, F.length(rest))
+    stop = F.regexp_instr(lines, F.lit(BODY_END))
+    size = F.when(stop > 0, stop - 1).otherwise(F.length(lines))
+    return F.when(F.regexp_like(lines, F.lit(rf"^{BREAK}*+{BASE64_LINE}")), headers + size).otherwise(0)
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span replaced by [kind]; overlapping spans become one, named by the one that starts first."""
 

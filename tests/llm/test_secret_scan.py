@@ -104,6 +104,12 @@ def test_redaction_of_key_bodies(spark):
         f"a {begin}\n{lines}\nand more prose": "a [pem]\nand more prose",
         f"a {begin} starts a file": "a [pem] starts a file",
         f"{begin}\n" + lines * 200 + f"\n{end} z": "[pem] z",
+        f"a {begin}\n" + "\n".join(["MIIEabc+/" * 7] * 20_000) + "\nabcd==\n\nthe end": "a [pem]\n\nthe end",
+        f"a {begin}\r\n" + "\r\n".join(["MIIEabc+/" * 7] * 1_500): "a [pem]",
+        f"a {begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n{lines}\nand prose": "a [pem]\nand prose",
+        f"a {begin}\nName: a word\nand prose": "a [pem]\nName: a word\nand prose",
+        "a " + f"{begin}\n{lines}".replace("\n", "\\n") + ", more": "a [pem], more",
+        f"a {begin}" + "MIIEabc+/" * 7 + " b": "a [pem] b",
     }
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in S.without_secrets(docs, SECRET_RULES).collect()}
