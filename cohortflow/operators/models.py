@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -86,6 +87,13 @@ def gaussian_bayes() -> Pipeline:
     )
 
 
+@lru_cache(maxsize=8)
+def fourier_weights(seed: int, gamma: float, inputs: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """W and b, drawn once per worker."""
+    draw = np.random.default_rng(seed)
+    return draw.normal(0.0, np.sqrt(2.0 * gamma), (inputs, width)), draw.uniform(0.0, 2.0 * np.pi, width)
+
+
 class RandomFourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Map vectors to cos(Wx + b): inner products approximate a Gaussian kernel
     (Rahimi & Recht 2007). W and b come from the seed, so only parameters are saved."""
@@ -111,9 +119,7 @@ class RandomFourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWri
             if not len(vectors):
                 return pd.Series([], dtype=object)
             x = np.stack(vectors.to_numpy())
-            draw = np.random.default_rng(seed)
-            weights = draw.normal(0.0, np.sqrt(2.0 * gamma), (x.shape[1], width))
-            shift = draw.uniform(0.0, 2.0 * np.pi, width)
+            weights, shift = fourier_weights(seed, gamma, x.shape[1], width)
             return pd.Series(list(np.sqrt(2.0 / width) * np.cos(x @ weights + shift)))
 
         mapped = project(vector_to_array(F.col(self.getOrDefault(self.inputCol))))

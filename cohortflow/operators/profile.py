@@ -193,9 +193,10 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], pairs_per_job: int = PAIR
     Without missing cells one pass over row vectors gives the whole matrix; columns with
     missing cells are then compared pair by pair, several pairs a job."""
     cols = {c: as_column(c).cast("double") for c in columns}
-    found = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(x).alias(f"c{i}") for i, x in enumerate(cols.values())]).first()
+    parts = [f(x).alias(f"{t}{i}") for i, x in enumerate(cols.values()) for t, f in (("c", F.count), ("s", F.stddev_pop))]
+    found = df.agg(F.count(F.lit(1)).alias("n"), *parts).first()
     whole = [c for i, c in enumerate(columns) if found["n"] and found[f"c{i}"] == found["n"]]
-    rows = _full_correlations(df, whole)
+    rows = _full_correlations(df, whole, {c for i, c in enumerate(columns) if not found[f"s{i}"]})
     partial = set(columns) - set(whole)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:] if a in partial or b in partial]
     for at in range(0, len(pairs), pairs_per_job):
@@ -206,15 +207,13 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], pairs_per_job: int = PAIR
     return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
 
 
-def _full_correlations(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, float | None]]:
-    """Upper triangle for columns without missing cells; null beside a constant column."""
+def _full_correlations(df: DataFrame, columns: Sequence[str], flat: set[str]) -> list[tuple[str, str, float | None]]:
+    """Upper triangle for columns without missing cells; null beside a constant (flat) column."""
     if not columns:
         return []
     numbers = df.select(*[as_column(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
     vectors = VectorAssembler(inputCols=numbers.columns, outputCol="v").transform(numbers).select("v")
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    spread_of = df.agg(*[F.stddev_pop(as_column(c).cast("double")).alias(f"s{i}") for i, c in enumerate(columns)]).first()
-    flat = {c for i, c in enumerate(columns) if not spread_of[f"s{i}"]}
     return [
         (a, b, None if a in flat or b in flat or math.isnan(matrix[i, j]) else float(matrix[i, j]))
         for i, a in enumerate(columns)

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from cohortflow.plans.catalog.registry import query
 from cohortflow.plans.stand_ins import read
 from cohortflow.sources.artifacts import copy_artifacts, write_csv, write_table
+from cohortflow.sources.inference import DATE, DECIMAL, INTEGER, TIMESTAMP, type_report
 from cohortflow.sources.scratch import scratch_path
-from cohortflow.sources.tables import ingest_folder, list_files, read_csv_text, read_csv_typed, table_inventory
+from cohortflow.sources.tables import ingest_folder, list_files, read_csv_inferred, read_csv_text, read_csv_typed, table_inventory
 
 CUSTOMER = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}
 ALL_TABLES = [
@@ -104,3 +105,38 @@ def ingest_to_parquet(spark, sf_dir):
         spark.read.parquet(written["customer"]).groupBy("c_nationkey")
         .agg(F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
     )
+
+
+_INFERRED = {
+    "customer": list(CUSTOMER), "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+}
+
+
+def _inferred_sql():
+    """The type of a column by how many of its cells parse as each."""
+
+    def one(table, c):
+        x = f"trim(CAST({c} AS VARCHAR))"
+        ways = [("boolean", f"lower({x}) IN ('true', 'false')"), ("bigint", f"regexp_matches({x}, '{INTEGER}')"), ("double", f"regexp_matches({x}, '{DECIMAL}')"),
+                ("date", f"regexp_matches({x}, '{DATE}')"), ("timestamp", f"regexp_matches({x}, '{TIMESTAMP}')")]
+        kind = " ".join(f"WHEN count(*) FILTER (WHERE {test}) = count({c}) THEN '{k}'" for k, test in ways)
+        return f"SELECT '{table}' AS table_name, '{c}' AS column_name, CASE {kind} ELSE 'string' END AS type, count({c}) AS cells FROM {table}"
+
+    return " UNION ALL ".join(one(t, c) for t, columns in _INFERRED.items() for c in columns)
+
+
+@query("csv_inferred_types", _inferred_sql())
+def csv_inferred_types(spark, sf_dir):
+    """Types of exported tables as their cells have them."""
+    out = None
+    for t, columns in _INFERRED.items():
+        found = type_report(read_csv_text(spark, _exported(spark, sf_dir, t)), columns).select(F.lit(t).alias("table_name"), "column_name", "type", "cells")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query("csv_scan_inferred", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def csv_scan_inferred(spark, sf_dir):
+    """Nothing but the key is declared; the other columns come out typed."""
+    return read_csv_inferred(spark, _exported(spark, sf_dir, "customer"), {"c_custkey": "bigint"}).select(*CUSTOMER)

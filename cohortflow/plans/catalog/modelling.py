@@ -11,7 +11,6 @@ from dataclasses import asdict
 
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortflow.operators import boosting as B
@@ -19,6 +18,7 @@ from cohortflow.operators import models as M
 from cohortflow.operators.balance import smote_balance
 from cohortflow.operators.neighbors import knn_classify
 from cohortflow.operators.preprocess import apply_z_score, fit_levels, fit_shaping, fit_z_score, one_hot
+from cohortflow.operators.ranking import running_totals
 from cohortflow.operators.split import cv_folds, stratified_split
 from cohortflow.plans import stand_ins as S
 from cohortflow.plans.catalog.profiling import rounded_all
@@ -258,8 +258,9 @@ def _recounted(metrics, predictions):
     out = None
     for model, rows in predictions.items():
         ranks = rows.groupBy(s.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.count_if(y).alias("pos"))
-        below = Window.partitionBy(F.lit(0)).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)  # one row per distinct score of the small held-out side
-        won = ranks.withColumn("neg", F.col("n") - F.col("pos")).withColumn("under", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+        won = running_totals(ranks.withColumn("neg", F.col("n") - F.col("pos")), "s", ["neg"])
+        negatives = won.agg(F.sum("neg")).first()[0]
+        won = won.withColumn("under", F.lit(negatives) - F.col("neg_above") - F.col("neg"))
         area = won.agg((F.sum(F.col("pos") * (F.col("under") + F.col("neg") / 2)) / (F.sum("pos") * F.sum("neg"))).alias("ROC AUC")).first()[0]
         c = rows.agg(
             F.count_if(y == p).alias("right"), F.count_if(y & p).alias("tp"), F.count_if(y).alias("y"), F.count_if(p).alias("p"), F.count(F.lit(1)).alias("n")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.functions.columns import SHAPED_COLUMNS, fill_missing
 from cohortflow.functions.expressions import AGE_EDGES, AGE_LABELS, LOS_EDGES, LOS_LABELS
-from cohortflow.operators import profile
+from cohortflow.operators import profile, shapes
 from cohortflow.operators.preprocess import clip_columns
 from cohortflow.plans import stand_ins as S
 from cohortflow.plans.catalog.registry import query
@@ -162,6 +162,26 @@ def histogram(spark, sf_dir):
     return rounded_all(profile.histogram(read(spark, sf_dir, "events"), "value", 20))
 
 
+_NODES, _POINTS = 256, 50
+
+
+@query(
+    "density_curve",
+    f"""
+WITH ends AS (SELECT count(value) AS n, stddev_samp(value) * pow(count(value), -0.2e0) AS w, min(value) AS a, max(value) AS b FROM events),
+frame AS (SELECT n, w, a - 3 * w AS lo, (b + 3 * w - (a - 3 * w)) / {_NODES - 1} AS step, (b + 3 * w - (a - 3 * w)) / {_POINTS - 1} AS stride FROM ends),
+placed AS (SELECT (value - lo) / step AS p FROM events, frame WHERE value IS NOT NULL),
+weights AS (SELECT node, sum(weight) AS weight FROM (
+  SELECT CAST(floor(p) AS INTEGER) AS node, 1 - (p - floor(p)) AS weight FROM placed UNION ALL SELECT CAST(floor(p) AS INTEGER) + 1, p - floor(p) FROM placed) GROUP BY node)
+SELECT 'value' AS column_name, round(lo + i * stride, 6) AS x,
+  round(sum(weight * exp(-0.5e0 * pow((lo + i * stride - (lo + node * step)) / w, 2))) / any_value(n * w * sqrt(2 * pi())), 8) AS density
+FROM weights, frame, range({_POINTS}) AS g(i) GROUP BY i, lo, stride""",
+)
+def density_curve(spark, sf_dir):
+    found = shapes.density_curves(read(spark, sf_dir, "events"), ["value"], _POINTS, _NODES)
+    return found.select("column_name", F.round("x", 6).alias("x"), F.round("density", 8).alias("density"))
+
+
 TARGET_FEATURES = [*SHAPED_COLUMNS, "age"]
 
 
@@ -185,6 +205,21 @@ def corr_with_target(spark, sf_dir):
     return rounded_all(profile.corr_with_target(filled_cohort(spark, sf_dir), TARGET_FEATURES, "hospital_expire_flag"))
 
 
+def _pairs_sql():
+    pairs = [(a, b) for i, a in enumerate(TARGET_FEATURES) for b in TARGET_FEATURES[i + 1 :]]
+    ends = ", ".join(f"min({c}) AS lo_{c}, (max({c}) - min({c})) / 10 AS w_{c}" for c in TARGET_FEATURES)
+    place = "CAST(least(floor(({0} - lo_{0}) / w_{0}), 9) AS INTEGER)"
+    one = "SELECT '{a}' AS feature_a, '{b}' AS feature_b, {x} AS bin_a, {y} AS bin_b, hospital_expire_flag AS label, count(*) AS count FROM filled, ends GROUP BY ALL"
+    return sql_with(
+        " UNION ALL ".join(one.format(a=a, b=b, x=place.format(a), y=place.format(b)) for a, b in pairs), f"{_FILLED}, ends AS (SELECT {ends} FROM filled)"
+    )
+
+
+@query("pair_counts", _pairs_sql())
+def pair_counts(spark, sf_dir):
+    return shapes.pair_counts(filled_cohort(spark, sf_dir), TARGET_FEATURES, "hospital_expire_flag")
+
+
 @query(
     "top_correlated",
     sql_with(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow.functions.expressions import as_column, parse_number
+from cohortflow.sources.inference import inferred
 
 # The columns of the six source tables that the cohort needs.
 SOURCE_COLUMNS: dict[str, dict[str, str]] = {
@@ -73,12 +74,17 @@ def read_csv_typed(spark: SparkSession, path: str | Sequence[str], columns: Mapp
     return typed(read_csv_text(spark, path), columns)
 
 
-def read_source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The six source tables from NAME.csv files in one folder."""
-    return {
-        name: read_csv_typed(spark, f"{folder}/{name.upper()}.csv", columns)
-        for name, columns in SOURCE_COLUMNS.items()
-    }
+def read_csv_inferred(spark: SparkSession, path: str | Sequence[str], declared: Mapping[str, str] | None = None) -> DataFrame:
+    """Headered CSV: declared columns by their declared types, the others by their cells, which costs a pass over those."""
+    rows = read_csv_text(spark, path)
+    return inferred(typed(rows, declared) if declared else rows, list(declared or {}))
+
+
+def read_source_tables(spark: SparkSession, folder: str, infer: bool = True) -> dict[str, DataFrame]:
+    """The six source tables from NAME.csv files in one folder. Columns beyond the declared ones get the types of their
+    cells, or stay text without `infer`."""
+    read = read_csv_inferred if infer else read_csv_typed
+    return {name: read(spark, f"{folder}/{name.upper()}.csv", columns) for name, columns in SOURCE_COLUMNS.items()}
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False) -> DataFrame:
