@@ -211,17 +211,20 @@ def _by_group(df: DataFrame, keys: list[str], f, schema: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Columns node and component (the least node reachable) for every node that has a link.
 
-    Each round hooks a root to its least neighbour, follows pointers twice and renames the links;
-    links inside a component vanish. Every table is written, so a round can be repeated."""
+    Each round hooks every root to its least neighbour, follows the pointers until all name a root, which takes the
+    logarithm of the longest way, and renames the links; links inside a component vanish. A root that stays has a
+    neighbour that went, so a round leaves half of the roots at most. Every table is written, so a round can be repeated."""
     labels = None
     edges = stored(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy("a").agg(F.min("b").alias("p")).select(F.col("a").alias("v"), F.least("a", "p").alias("p"))
         hooks = stored(hooks, "hooks")
-        for _ in range(2):
+        moving = True
+        while moving:
             up = hooks.select(F.col("v").alias("p"), F.col("p").alias("q"))
-            hooks = stored(hooks.join(up, "p").select("v", F.col("q").alias("p")), "hooks")
+            jumped = stored(hooks.join(up, "p").select("v", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")), "hooks")
+            hooks, moving = jumped.select("v", "p"), not jumped.where("moved").isEmpty()
         if labels is None:
             labels = hooks.select(F.col("v").alias("node"), F.col("p").alias("component"))
         else:

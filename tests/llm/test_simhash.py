@@ -103,6 +103,18 @@ def test_long_chain_of_links(spark):
     assert {r["component"] for r in rows} == {0} and len(rows) == 400
 
 
+@pytest.mark.parametrize("order", ["rising", "zigzag"])
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch, order):
+    """Names that rise along a chain, and ones of which every other is small."""
+    n, rounds, plain = 10_000, [], S.stored
+    monkeypatch.setattr(S, "stored", lambda df, name: rounds.append(name) or plain(df, name))
+    name = (lambda c: c) if order == "rising" else (lambda c: F.when(c % 2 == 0, c / 2).otherwise(n + c).cast("long"))
+    links = spark.range(n - 1).select(name(F.col("id")).alias("a"), name(F.col("id") + 1).alias("b"))
+    rows = S.components(links)
+    assert rows.agg(F.min("component"), F.max("component"), F.count("*")).first()[:] == (0, 0, n)
+    assert rounds.count("labels") <= 20 and len(rounds) <= 60
+
+
 def test_segments():
     assert S.segments(64, 5)[-1] == (51, 13) and sum(w for _, w in S.segments(64, 7)) == 64
     assert S.parts_for(10, 4) == 5 < S.parts_for(10**8, 4)
