@@ -7,7 +7,7 @@ role, which the transition from the line before then decides. Transitions, start
 emissions are counted from lines with known roles.
 
 Lines are sorted over the cluster by conversation and place, so one conversation may lie in
-several partitions and no task needs all of it. Every piece of a conversation is reduced to
+several partitions and no task needs all of it. Every piece of such a conversation is reduced to
 its max-plus matrix (best score from any state before it to any state at its end); the few
 matrices of a conversation are composed in order, which gives the exact Viterbi states at
 the borders, and each piece is then decoded between them. Turns are rendered line by line,
@@ -113,12 +113,15 @@ def as_transcript(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
     return rows.select("conv_id", "turn", F.col("line_no").cast("long").alias("line_no"), marked.alias("line"), "role")
 
 
-def _sorted(lines: DataFrame) -> DataFrame:
-    """Lines with a piece number and their place `at` in it; pieces in order. Stored, as several passes read it."""
+def _sorted(lines: DataFrame, with_text: bool = True) -> DataFrame:
+    """Lines with a piece number and their place `at` in it; pieces in order. Stored, as several passes read it.
+    Without text only the lines' hashes are moved, which order equal places otherwise."""
     parts = max(PIECES, lines.count() // LINES_PER_PIECE)
     marker = marker_class(F.col("line"))
     # equal rows differ only by chance, so that a turn repeated without end is dealt out too
     seen = lines.withColumn("marker", marker).withColumn("symbol", symbol(F.col("marker"), F.col("line"))).withColumn("tie", F.monotonically_increasing_id())
+    if not with_text:
+        seen = seen.withColumn("line", F.xxhash64("line"))
     order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "line_no", "line", "tie")]
     dealt = seen.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("tie")
     # text for grouping: a null id is a conversation too
@@ -130,7 +133,7 @@ def train(lines: DataFrame) -> Model:
     """Counts of all given lines: starts, moves between neighbouring lines, symbols by role. A line of unknown role counts for
     nothing, and neither do the moves to and from it. The counts do not depend on how the lines are cut into pieces."""
     number = F.when(F.col("role") == ROLES[0], 0).when(F.col("role") == ROLES[1], 1).when(F.col("role") == ROLES[2], 2)
-    seen = _sorted(lines).select("piece", "conv", "at", "symbol", number.alias("state"))
+    seen = _sorted(lines, with_text=False).select("piece", "conv", "at", "symbol", number.alias("state"))
     inside = Window.partitionBy("piece", "conv").orderBy("at")
     placed = seen.withColumns({"place": F.row_number().over(inside), "before": F.lag("state").over(inside), "is_last": F.lead("at").over(inside).isNull()})
     placed = stored(placed, "moves")
@@ -194,35 +197,38 @@ def recover(lines: DataFrame, model: Model) -> DataFrame:
     conv_type = lines.schema["conv_id"].dataType.simpleString()
     placed = _sorted(lines.select("conv_id", "turn", "line_no", "line"))
 
+    # a border between pieces parts one conversation at most, so these are fewer than the pieces
+    several = placed.groupBy("conv").agg(F.min("piece").alias("a"), F.max("piece").alias("b")).where("a < b").select("conv")
+    several = F.broadcast(stored(several, "parted"))
+
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _groups(batches, ["piece", "conv"]):
-            m = chain_matrix(part["symbol"].to_numpy(), model)
-            yield pd.DataFrame({"piece": [part["piece"].iloc[0]], "conv": [part["conv"].iloc[0]], "matrix": [m.ravel().tolist()]})
-
-    keyed = placed.select("piece", "at", "conv", "symbol").repartition("piece").sortWithinPartitions("piece", "at")
-    pieces = stored(keyed.select("piece", "conv", "symbol").mapInPandas(matrices, "piece int, conv string, matrix array<double>"), "matrices")
-    # a conversation has at most one row per piece here
-    several = pieces.groupBy("conv").count().where("count > 1").select("conv")
-    borders = pieces.join(several, "conv").groupBy("conv").applyInPandas(_borders, "conv string, piece int, before int, last int")
-    side = stored(borders, "borders")
+        for rows, edges in _whole_groups(batches, ["piece", "conv"]):
+            symbols, first = rows["symbol"].to_numpy(), rows.iloc[edges[:-1]]
+            found = [chain_matrix(symbols[a:b], model).ravel().tolist() for a, b in zip(edges, edges[1:], strict=False)]
+            yield pd.DataFrame({"piece": first["piece"].array, "conv": first["conv"].array, "matrix": found})
+
+    parted = placed.select("piece", "at", "conv", "symbol").join(several, "conv")
+    keyed = parted.repartition("piece").sortWithinPartitions("piece", "at").select("piece", "conv", "symbol")
+    pieces = stored(keyed.mapInPandas(matrices, "piece int, conv string, matrix array<double>"), "matrices")
+    side = stored(pieces.groupBy("conv").applyInPandas(_borders, "conv string, piece int, before int, last int"), "borders")
     known = placed.join(F.broadcast(side) if side.count() <= 1_000_000 else side, ["conv", "piece"], "left")
     known = known.repartition("piece").sortWithinPartitions("piece", "at")
     out = f"conv_id {conv_type}, conv string, piece int, turn long, line_no long, role string, begins boolean, line string, first boolean, last boolean, open boolean"
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _groups(batches, ["piece", "conv"]):
-            before = -1 if pd.isna(part["before"].iloc[0]) else int(part["before"].iloc[0])
-            last = -1 if pd.isna(part["last"].iloc[0]) else int(part["last"].iloc[0])
-            path = np.array(chain_path(part["symbol"].to_numpy(), model, before, last))
-            marked = (part["marker"] < NONE).to_numpy()  # a dash may be a list's
-            begins = marked | (path != np.concatenate(([before], path[:-1])))
-            n = len(part)
-            ends = np.zeros(n, bool)
-            ends[-1] = True
+        for rows, edges in _whole_groups(batches, ["piece", "conv"]):
+            symbols, marker = rows["symbol"].to_numpy(), rows["marker"].to_numpy()
+            before, last = (rows[c].fillna(-1).to_numpy().astype(int) for c in ("before", "last"))
+            path = np.concatenate([chain_path(symbols[a:b], model, before[a], last[a]) for a, b in zip(edges, edges[1:], strict=False)])
+            first, ends = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
+            first[edges[:-1]], ends[np.array(edges[1:]) - 1] = True, True
+            earlier = np.where(first, before, np.concatenate(([-1], path[:-1])))
+            begins = (marker < NONE) | (path != earlier)  # a dash may be a list's
+            goes_on = np.append(~begins[1:], False) & ~ends
             yield pd.DataFrame({
-                "conv_id": part["conv_id"].array, "conv": part["conv"].array, "piece": part["piece"].array, "turn": part["turn"].astype("Int64").array,
-                "line_no": part["line_no"].array, "role": [ROLES[p] for p in path], "begins": begins, "line": part["line"].array,
-                "first": np.arange(n) == 0, "last": ends, "open": np.append(~begins[1:], False),
+                "conv_id": rows["conv_id"].array, "conv": rows["conv"].array, "piece": rows["piece"].array, "turn": rows["turn"].astype("Int64").array,
+                "line_no": rows["line_no"].array, "role": np.array(ROLES, object)[path], "begins": begins, "line": rows["line"].array,
+                "first": first, "last": ends, "open": goes_on,
             })
 
     columns = ["conv_id", "conv", "piece", "turn", "line_no", "symbol", "marker", "line", "before", "last"]
@@ -244,20 +250,33 @@ def recover(lines: DataFrame, model: Model) -> DataFrame:
     return found.select("conv_id", "turn", "line_no", "role", "begins", "prefix", "content", rendered.alias("rendered"))
 
 
-def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Runs of equal keys in sorted batches."""
+def _whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, list[int]]]:
+    """Rows of whole groups of sorted batches, and where each group begins, with the end. A batch's last group is held back
+    until it is known to be whole."""
     rest: list[pd.DataFrame] = []
+
+    def ready(parts: list[pd.DataFrame]) -> tuple[pd.DataFrame, list[int]]:
+        rows = parts[0].reset_index(drop=True) if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        return rows, [0, *_changes(rows, keys), len(rows)]
+
     for batch in batches:
         if not len(batch):
             continue
-        k = batch[keys]
-        cut = np.flatnonzero((k.iloc[1:].to_numpy() != k.iloc[:-1].to_numpy()).any(axis=1)) + 1
-        edges = [0, *cut.tolist(), len(batch)]
-        for a, b in zip(edges, edges[1:], strict=False):
-            part = batch.iloc[a:b]
-            if rest and (rest[-1][keys].iloc[-1].to_numpy() != part[keys].iloc[0].to_numpy()).any():
-                yield pd.concat(rest, ignore_index=True)
-                rest = []
-            rest.append(part)
+        cuts = _changes(batch, keys)
+        new = bool(rest) and any(rest[-1][k].iloc[-1] != batch[k].iloc[0] for k in keys)
+        if cuts or new:
+            whole = [*rest, *([batch.iloc[: cuts[-1]]] if cuts else [])]
+            yield ready(whole)
+            rest = []
+        rest.append(batch.iloc[cuts[-1] :] if cuts else batch)
     if rest:
-        yield pd.concat(rest, ignore_index=True)
+        yield ready(rest)
+
+
+def _changes(rows: pd.DataFrame, keys: list[str]) -> list[int]:
+    """Positions at which a key differs from the row before."""
+    differs = np.zeros(len(rows) - 1, bool)
+    for k in keys:
+        values = rows[k].to_numpy()
+        differs |= values[1:] != values[:-1]
+    return (np.flatnonzero(differs) + 1).tolist()
