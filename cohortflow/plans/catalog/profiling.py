@@ -207,7 +207,9 @@ def corr_with_target(spark, sf_dir):
 
 def _pairs_sql():
     pairs = [(a, b) for i, a in enumerate(TARGET_FEATURES) for b in TARGET_FEATURES[i + 1 :]]
-    ends = ", ".join(f"min({c}) AS lo_{c}, (max({c}) - min({c})) / 10 AS w_{c}" for c in TARGET_FEATURES)
+    # a constant column lies in the middle of a range of 1
+    end = "CASE WHEN max({0}) = min({0}) THEN min({0}) - 0.5e0 ELSE min({0}) END AS lo_{0}, CASE WHEN max({0}) = min({0}) THEN 1e0 ELSE max({0}) - min({0}) END / 10 AS w_{0}"
+    ends = ", ".join(end.format(c) for c in TARGET_FEATURES)
     place = "CAST(least(floor(({0} - lo_{0}) / w_{0}), 9) AS INTEGER)"
     one = "SELECT '{a}' AS feature_a, '{b}' AS feature_b, {x} AS bin_a, {y} AS bin_b, hospital_expire_flag AS label, count(*) AS count FROM filled, ends GROUP BY ALL"
     return sql_with(
