@@ -247,3 +247,17 @@ def test_copula_keeps_shape(spark):
 def test_kinds(spark):
     df = spark.range(200).select("id", (F.col("id") % 3).alias("code"), F.lit("a").alias("s"), F.current_date().alias("d"), F.lit(True).alias("b"), F.rand().alias("x"))
     assert infer_kinds(df) == {"id": "id", "code": "numerical", "s": "categorical", "d": "datetime", "b": "boolean", "x": "numerical"}
+
+
+def test_best_border_considers_every_value(spark):
+    """The border of a rare narrow signal among 30,000 distinct values: no sample of borders need hold it."""
+    rng = np.random.default_rng(8)
+    x = rng.permutation(30_000).astype(float)
+    y = np.where(x >= 29_970, 1, rng.random(30_000) < 0.3).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": y}))
+    order = np.argsort(x)
+    left, n, p = np.arange(1, 30_000), 30_000, y.sum()
+    lp = np.cumsum(y[order])[:-1]
+    weighted = 2 * lp * (1 - lp / left) + 2 * (p - lp) * (1 - (p - lp) / (n - left))
+    assert ranking.best_border(df, "x", "y") == x[order][weighted.argmin() + 1] == 29_970
+    assert ranking.best_border(df.filter("x < 1"), "x", "y") is None and ranking.best_border(df.limit(0), "x", "y") is None
