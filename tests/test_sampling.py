@@ -261,3 +261,15 @@ def test_best_border_considers_every_value(spark):
     weighted = 2 * lp * (1 - lp / left) + 2 * (p - lp) * (1 - (p - lp) / (n - left))
     assert ranking.best_border(df, "x", "y") == x[order][weighted.argmin() + 1] == 29_970
     assert ranking.best_border(df.filter("x < 1"), "x", "y") is None and ranking.best_border(df.limit(0), "x", "y") is None
+
+
+def test_running_totals_make_their_input_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(v):
+        made.add(1)
+        return float(v)
+
+    df = spark.range(100).select(F.udf(counted, "double")("id").alias("v"), F.lit(1).alias("n"))
+    assert running_totals(df, "v", ["n"]).filter("n_above = 99 - v").count() == 100
+    assert made.value == 100
