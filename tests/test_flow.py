@@ -183,3 +183,14 @@ def test_sparse_levels_score_as_columns_of_their_own(spark):
     got = {r.feature: r.score for r in forest_importance(df, ["x"], "y", 5, 6, wide=["c"]).collect()}
     want = {r.feature: r.score for r in forest_importance(dense, ["x", *[f"c_{v}" for v in levels]], "y", 5, 6).collect()}
     assert got == pytest.approx({f: s for f, s in want.items() if f == "x" or s > 0})
+
+
+def test_levels_numbered_as_a_table_give_the_encoder_s_vectors(spark):
+    from cohortflow.operators.preprocess import one_hot_sparse, one_hot_vector
+
+    rows = [(i, None if i % 50 == 7 else f"v{i % 37}") for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, c string").repartition(5)
+    want = {r["k"]: r["dummies"] for r in one_hot_vector(df, ["c"]).transform(df).collect()}
+    got = {r["k"]: r["dummies"] for r in one_hot_sparse(df, "c").collect()}
+    assert got == want and {v.size for v in got.values()} == {36}
+    assert one_hot_sparse(df.limit(0), "c").count() == 0
