@@ -102,7 +102,7 @@ def fit_copula(df: DataFrame, columns: Sequence[str] | None = None) -> CopulaSpe
     knots = {c: [tables[c], scores] for c in numbers if tables[c][0] is not None}
     levels, wide = _category_tables(df, categories)
     usable = [c for c in columns if c in knots or c in levels or c in wide]
-    coded = _to_scores(df, usable, knots, levels, wide)
+    coded = materialize(_to_scores(df, usable, knots, levels, wide), "copula_scores")  # the correlation reads them twice
     assembled = VectorAssembler(inputCols=coded.columns, outputCol="z").transform(coded).select("z")
     matrix = Correlation.corr(assembled, "z").first()[0].toArray()
     return CopulaSpec(

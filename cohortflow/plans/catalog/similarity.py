@@ -182,12 +182,14 @@ def synth_copula(spark, sf_dir):
         shares = real.groupBy(c).agg((F.count(F.lit(1)) / n).alias("a")).join(made.groupBy(c).agg((F.count(F.lit(1)) / n_made).alias("b")), c, "full")
         found = shares.agg(F.count("b").alias("levels"), F.max(F.abs(F.coalesce("a", F.lit(0)) - F.coalesce("b", F.lit(0)))).alias("off")).first()
         out.append((c, n_made, found["levels"], found["off"] < 0.05))
-    probs = [0.25, 0.5, 0.75]
-    for c in _SYNTH_NUMBERS:
-        ends = real.agg(F.min(c), F.max(c)).first()
-        width = max(float(ends[1]) - float(ends[0]), 1e-12)
-        a, b = (df.select(F.col(c).cast("double").alias("x")).approxQuantile("x", probs, 0.002) for df in (real, made))
-        inside = made.filter((F.col(c) < ends[0] - 1e-9) | (F.col(c) > ends[1] + 1e-9)).isEmpty()
+    numbers, probs = list(_SYNTH_NUMBERS), [0.25, 0.5, 0.75]
+    # one pass for the ends of all columns and one for their quartiles
+    ends = real.agg(*[e(c).alias(f"{e.__name__}{i}") for i, c in enumerate(numbers) for e in (F.min, F.max)]).first()
+    quartiles = [df.select(*[F.col(c).cast("double").alias(c) for c in numbers]).approxQuantile(numbers, probs, 0.002) for df in (real, made)]
+    beyond = made.agg(*[F.count_if((F.col(c) < ends[f"min{i}"] - 1e-9) | (F.col(c) > ends[f"max{i}"] + 1e-9)).alias(f"n{i}") for i, c in enumerate(numbers)]).first()
+    for i, c in enumerate(numbers):
+        width = max(float(ends[f"max{i}"]) - float(ends[f"min{i}"]), 1e-12)
+        a, b = quartiles[0][i], quartiles[1][i]
         near = all(abs(x - y) <= 0.05 * width for x, y in zip(a, b, strict=True)) or set(a) | set(b) <= {0.0, 1.0}
-        out.append((c, n_made, None, inside and near))
+        out.append((c, n_made, None, beyond[f"n{i}"] == 0 and near))
     return spark.createDataFrame(out, "column_name string, n_rows long, levels long, alike boolean")

@@ -273,3 +273,14 @@ def test_running_totals_make_their_input_once(spark):
     df = spark.range(100).select(F.udf(counted, "double")("id").alias("v"), F.lit(1).alias("n"))
     assert running_totals(df, "v", ["n"]).filter("n_above = 99 - v").count() == 100
     assert made.value == 100
+
+
+def test_copula_scores_are_made_once(spark, monkeypatch):
+    """The correlation reads its scores twice: they are stored, not made anew in each pass."""
+    from cohortflow.operators import synth
+
+    kept, stored = [], synth.materialize
+    monkeypatch.setattr(synth, "materialize", lambda df, label: kept.append(label) or stored(df, label))
+    rows = spark.range(50).selectExpr("cast(id as double) AS a", "cast(id * id % 17 as double) AS b")
+    synth.fit_copula(rows, ["a", "b"])
+    assert kept == ["copula_input", "copula_scores"]
