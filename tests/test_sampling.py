@@ -284,3 +284,42 @@ def test_copula_scores_are_made_once(spark, monkeypatch):
     rows = spark.range(50).selectExpr("cast(id as double) AS a", "cast(id * id % 17 as double) AS b")
     synth.fit_copula(rows, ["a", "b"])
     assert kept == ["copula_input", "copula_scores"]
+
+
+def _brute(vectors, labels, ids, k):
+    out = {}
+    for i in ids:
+        d = np.round(np.sqrt(((vectors - vectors[i]) ** 2).sum(1)), 9)
+        d[(labels != labels[i]) | (np.arange(len(d)) == i)] = np.inf
+        order = np.lexsort((np.arange(len(d)), d))[:k]
+        out[i] = [int(j) for j in order if np.isfinite(d[j])]
+    return out
+
+
+def _labelled_points(spark, vectors, labels):
+    return spark.createDataFrame([(i, [float(x) for x in v], int(c)) for i, (v, c) in enumerate(zip(vectors, labels, strict=True))], "id long, vector array<double>, c int")
+
+
+@pytest.mark.parametrize("cells", [False, True])
+def test_vectors_that_no_bound_parts_meet_in_packed_blocks(spark, monkeypatch, cells):
+    rng = np.random.default_rng(21)
+    vectors, labels = rng.normal(size=(500, 24)), rng.integers(0, 3, 500)
+    vectors[50:90], labels[:4] = vectors[0], 9
+    for name, value in {"ONE_BLOCK": 40, "PACKED_NUMBERS": 24 * 30, "PACKED_QUERIES": 24 * 20, "PART_BYTES": 20_000}.items():
+        monkeypatch.setattr(N, name, value)
+    if cells:
+        monkeypatch.setattr(N, "ONE_CELL", 100)
+        monkeypatch.setattr(N, "POINTS_PER_CELL", 20)
+    calls, packed = [], N._scan_packed
+    monkeypatch.setattr(N, "_scan_packed", lambda *a: calls.append(1) or packed(*a))
+    found = knn_join(_labelled_points(spark, vectors, labels), None, 5, by="c").collect()
+    assert {r["id"]: [n["id"] for n in r["neighbors"]] for r in found} == _brute(vectors, labels, range(500), 5)
+    assert calls == [1]
+
+
+def test_some_of_the_points_may_ask(spark):
+    rng = np.random.default_rng(22)
+    vectors, labels = np.round(rng.normal(size=(200, 2)), 1), rng.integers(0, 2, 200)
+    df = _labelled_points(spark, vectors, labels)
+    found = knn_join(df.filter("id % 4 = 0"), df, 5, by="c", own=True).collect()
+    assert {r["id"]: [n["id"] for n in r["neighbors"]] for r in found} == _brute(vectors, labels, range(0, 200, 4), 5)
