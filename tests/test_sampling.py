@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cohortflow.operators import ranking
+from cohortflow.operators import balance, ranking
 from cohortflow.operators.balance import smote_balance, smote_rows
 from cohortflow.operators import neighbors as N
 from cohortflow.operators.neighbors import knn_classify, knn_join, neighbor_rows
@@ -323,3 +323,12 @@ def test_some_of_the_points_may_ask(spark):
     df = _labelled_points(spark, vectors, labels)
     found = knn_join(df.filter("id % 4 = 0"), df, 5, by="c", own=True).collect()
     assert {r["id"]: [n["id"] for n in r["neighbors"]] for r in found} == _brute(vectors, labels, range(0, 200, 4), 5)
+
+
+def test_smote_searches_only_for_rows_that_it_starts_from(spark, monkeypatch):
+    asked = []
+    search = balance.knn_join
+    monkeypatch.setattr(balance, "knn_join", lambda q, *a, **k: asked.append(q.count()) or search(q, *a, **k))
+    df = spark.range(400).selectExpr("id", "cast(id % 37 as double) x", "cast(id % 11 as double) z", "cast(id < 210 as int) y")
+    assert smote_rows(df, "y", ["x", "z"], key=["id"]).count() == 20
+    assert 0 < asked[0] <= 20
