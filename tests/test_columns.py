@@ -95,6 +95,14 @@ def test_complete_rows(spark):
     assert [tuple(r) for r in C.complete_rows(df).collect()] == [(1.0, 1)]
 
 
+def test_complete_rows_are_found_by_one_plain_test_per_column(spark):
+    df = spark.createDataFrame([(1.0, 1, math.nan), (-math.inf, 2, 1.0), (math.nan, 3, 1.0), (2.0, None, 1.0), (3.0, 4, None)], "x double, y int, z double")
+    found = C.complete_rows(df, ["x", "y"])
+    assert [r["y"] for r in found.orderBy("y").collect()] == [1, 4]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "atleastnnonnulls" not in plan and "case when" not in plan
+
+
 def test_align_and_family_sum(spark):
     df = spark.createDataFrame([(1, 0, 1, 7)], "k int, religion_a int, religion_b int, extra int")
     aligned = C.align_to(df, ["z", "religion_b"], keep=["k"])

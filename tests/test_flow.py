@@ -194,3 +194,15 @@ def test_levels_numbered_as_a_table_give_the_encoder_s_vectors(spark):
     got = {r["k"]: r["dummies"] for r in one_hot_sparse(df, "c").collect()}
     assert got == want and {v.size for v in got.values()} == {36}
     assert one_hot_sparse(df.limit(0), "c").count() == 0
+
+
+def test_whole_numbers_are_loaded_without_parsing(spark, monkeypatch):
+    schema = "k int, x double, n int, t string, hospital_expire_flag int"
+    rows = [(1, 1.0, 2, "7", 1), (2, float("nan"), 3, "7", 0), (3, 4.0, None, "7", 1), (4, 5.0, 6, "8", None), (5, 5.0, 6, None, 1)]
+    plans, kept = [], workflow.materialize
+    monkeypatch.setattr(workflow, "materialize", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or kept(df, *a))
+    loaded = workflow.TrainingRun(spark, spark.createDataFrame(rows, schema), key=["k"]).load_data()
+    assert [tuple(r) for r in loaded.orderBy("k").collect()] == [(1, 1.0, 2.0, 7.0, 1), (4, 5.0, 6.0, 8.0, 0)]
+    assert "RLIKE" not in plans[0] and "atleastnnonnulls" not in plans[0]
+    text = spark.createDataFrame([("1",), ("x",), (None,), ("0",)], "hospital_expire_flag string").withColumn("x", F.lit(1.0))
+    assert [r[0] for r in workflow.TrainingRun(spark, text).load_data().select("hospital_expire_flag").orderBy("hospital_expire_flag").collect()] == [0, 0, 0, 1]

@@ -174,6 +174,20 @@ def test_knn_between_two_sets(spark, pivots, levels):
     assert found == brute(q, p, 3, False)
 
 
+def test_cells_of_queries_are_looked_for_once(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    vectors = {i: rng.normal(size=3) for i in range(300)}
+    calls, labels, kept, cells = [], [], N.materialize, N._home_cells
+    monkeypatch.setattr(N, "materialize", lambda df, label: labels.append(label) or kept(df, label))
+    monkeypatch.setattr(N, "_home_cells", lambda df, pivots: calls.append(df) or cells(df, pivots))
+    asked = points(spark, {i: v for i, v in vectors.items() if i % 2})
+    found = knn_join(asked, points(spark, vectors), 4, pivots=12, levels=1, own=True)
+    assert len(calls) == 2 and "knn_asked" in labels  # written before several jobs read it
+    monkeypatch.undo()
+    want = brute({i: v for i, v in vectors.items() if i % 2}, vectors, 4, True)
+    assert {r["id"]: [n["id"] for n in r["neighbors"]] for r in found.collect()} == want
+
+
 def test_knn_stays_inside_class_and_small_classes_have_fewer(spark):
     df = points(spark, {i: np.array([float(i)]) for i in range(12)}).withColumn("c", F.when(F.col("id") < 3, "a").otherwise("b"))
     rows = neighbor_rows(knn_join(df, None, 5, by="c"), ["id", "c"]).collect()
