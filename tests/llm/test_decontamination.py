@@ -180,3 +180,43 @@ def test_many_subsequences_at_once():
         assert int(bits.answer[i]).bit_count() == bits.answers[i] == len(set(p.words[:3].tolist()))
     sizes = np.array([len(p.words) for p in passages])
     assert D.common_subsequences(sizes, np.array(owner), np.array(masks, np.uint64)).tolist() == want
+
+
+def test_latent_rows_are_all_passages(spark):
+    """Of every document, one without an id too, each word that weighs stands in one row, however many documents there are."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 60, n)) for n in (0, 1, 39, 40, 41, 400, 3000)] * 3
+    docs = spark.createDataFrame([(None if i == 4 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    vocabulary = np.unique(words_of(" ".join(f"w{k}" for k in range(0, 60, 2))))
+    idf = np.where(np.arange(len(vocabulary)) % 7, np.linspace(0.5, 2.0, len(vocabulary)), 0.0)
+    want, seen, passages = np.zeros((len(vocabulary),) * 2), np.zeros(len(vocabulary)), 0
+    for t in texts:
+        words = words_of(t)
+        seen[np.flatnonzero(np.isin(vocabulary, words))] += 1
+        for a in range(0, len(words), D.PASSAGE):
+            n = (words[a : a + D.PASSAGE, None] == vocabulary).sum(0)
+            passages += bool(n.any())
+            row = n * idf / max(1e-300, np.linalg.norm(n * idf))
+            want += np.outer(row, row)
+    known = D.known_words(docs, vocabulary, "doc_id", "text")
+    df, total, held = D.document_frequency(known, len(vocabulary))
+    assert df.tolist() == seen.tolist() and (total, held) == (len(texts), passages)
+    own = D.Passage(0, words_of("w0 w2 w2 w4"))
+    rows = D.weighted_rows(known, [own], vocabulary, held)
+    row = (own.words[:, None] == vocabulary).sum(0) * idf
+    want += D.BENCHMARK_WEIGHT * passages * np.outer(row, row) / (row @ row)
+    cells = D.packed_cells(idf)
+    assert np.allclose(D.multiplied(rows, np.eye(len(vocabulary)), cells), want, rtol=1e-5, atol=1e-4)
+    assert np.allclose(D.inner_products(rows, np.eye(len(vocabulary)), cells), want, rtol=1e-5, atol=1e-4)
+
+
+def test_product_of_packed_rows(spark, monkeypatch):
+    """Rows of any length, empty ones among them, in portions smaller than a batch, give the dense product."""
+    rng = np.random.default_rng(12)
+    dense = rng.normal(size=(70, 30)) * (rng.random((70, 30)) < rng.random((70, 1)) ** 2)
+    rows = [(np.flatnonzero(r).tolist(), r[r != 0].tolist()) for r in dense]
+    block = rng.normal(size=(30, 7))
+    monkeypatch.setattr(D, "CELLS_AT_ONCE", 64)
+    df = spark.createDataFrame(rows, "at array<int>, value array<double>")
+    assert np.allclose(D.multiplied(df, block), dense.T @ (dense @ block), atol=1e-9)
+    assert np.allclose(D.inner_products(df, block), (dense @ block).T @ (dense @ block), atol=1e-9)
