@@ -220,3 +220,17 @@ def test_product_of_packed_rows(spark, monkeypatch):
     df = spark.createDataFrame(rows, "at array<int>, value array<double>")
     assert np.allclose(D.multiplied(df, block), dense.T @ (dense @ block), atol=1e-9)
     assert np.allclose(D.inner_products(df, block), (dense @ block).T @ (dense @ block), atol=1e-9)
+
+
+def test_stage_learns_from_every_passage(spark, sf_dir, monkeypatch):
+    """The pipeline's stage counts each passage of the documents that it is given, not a sample of them."""
+    import corpus_pipeline
+
+    docs, bench = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    vocabulary = np.unique(np.concatenate([p.words for p in D.split_items([tuple(r) for r in bench.select("item_id", "text").collect()])]))
+    texts = [words_of(r["text"] or "", characters=True) for r in docs.collect()]
+    want = sum(bool(np.isin(w[a : a + D.PASSAGE], vocabulary).any()) for w in texts for a in range(0, len(w), D.PASSAGE))
+    held, seen = D.weighted_rows, []
+    monkeypatch.setattr(D, "weighted_rows", lambda *a: seen.append(a[-1]) or held(*a))
+    corpus_pipeline.drop_leaks(spark, docs, sf_dir).count()
+    assert seen == [want] and want > docs.count()
